@@ -12,6 +12,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayloom.functions import pose as P
 from wayloom.functions.cells import to_i16, trunc
@@ -132,7 +133,7 @@ def voxel_gaussians(points: DataFrame, size: float, min_n: int = 6, floor_ratio:
     s = s.select(*by, "vx", "vy", "vz", "n",
                  F.array(*[F.col(f"v{c}") * size + F.col(f"s{c}") / n for c in "xyz"]).alias("mean"),
                  F.array(*[cov(a, b) for a in "xyz" for b in "xyz"]).alias("cov"))
-    schema = s.schema.add("icov", "array<double>")
+    schema = T.StructType([*s.schema.fields, T.StructField("icov", T.ArrayType(T.DoubleType()))])
     return s.mapInPandas(_floor_and_invert(floor_ratio), schema)
 
 

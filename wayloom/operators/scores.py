@@ -11,6 +11,7 @@ from wayloom.functions import geodesy as G
 from wayloom.operators.ordered import SLICE, blocked, carried, near, running, runs, tidy
 from wayloom.operators.sequence import TRAJ, step_distance
 from wayloom.operators.spatial import radius_join
+from wayloom.session import cut
 
 # Score bucket range and step, and the segment length rule in metres.
 LOW, HIGH, STEP = 1.8, 4.2, 0.3
@@ -54,6 +55,7 @@ def _segments_of(rows: DataFrame, by: Sequence[str], bucket: str = "bucket") ->
     g = rows.groupBy(*by, "run_id").agg(
         F.min("_rn").alias("first_rn"), F.max("_rn").alias("last_rn"), F.first(bucket).alias("bucket"),
         F.sum("step").alias("_all"), F.max_by("step", "_rn").alias("_end"))
+    g = cut(g)  # one row per run: cheap to keep, dear to compute twice
     last = g.groupBy(*by).agg(F.max("run_id").alias("_last"))
     g = g.join(last, list(by))
     return g.select(*by, "run_id", "first_rn", "last_rn", "bucket",
@@ -81,7 +83,7 @@ def merge_short(segs: DataFrame, by: Sequence[str] = TRAJ) -> DataFrame:
            .when(closed & ~first & F.col("_n1").isNull() & (F.col("dist") < SHORT_END), F.col("_p1"))
            .when(~closed & F.col("_p2").isNotNull() & (F.col("_pd") < SHORT_END), F.col("_p2"))
            .otherwise(F.col("bucket")))
-    return tidy(d.withColumn("merged", new)).drop("_p1", "_p2", "_pd", "_n1", "_at")
+    return cut(tidy(d.withColumn("merged", new)).drop("_p1", "_p2", "_pd", "_n1", "_at"))
 
 
 def merge_between_long(segs: DataFrame, by: Sequence[str] = TRAJ, long: float = SHORT_END) -> DataFrame:
@@ -94,8 +96,8 @@ def merge_between_long(segs: DataFrame, by: Sequence[str] = TRAJ, long: float =
     is_long = F.col("closed") & (F.col("dist") > long)
     ahead = blocked(d.withColumn("_neg", -F.col("_at")), by, ["_neg"], 100_000.0)
     ahead = tidy(carried(ahead, by, {"_next": F.when(is_long, F.col("bucket"))})).drop("_neg")
-    back = blocked(ahead, by, ["_at"], 100_000.0)
-    d = tidy(carried(back, by, {"_prev": F.when(is_long, F.col("bucket"))}))
+    back = blocked(cut(ahead), by, ["_at"], 100_000.0)
+    d = cut(tidy(carried(back, by, {"_prev": F.when(is_long, F.col("bucket"))})))
     head = F.col("_prev").isNull() & F.col("_next").isNotNull()
     tail = F.col("_next").isNull() & F.col("_prev").isNotNull()
     ends = d.groupBy(*by).agg(F.min(F.when(head & F.col("closed"), F.col("bucket"))).alias("_head"),
@@ -132,7 +134,7 @@ def spatial_min(df: DataFrame, r: float = 15.0, bucket: str = "bucket", by: Sequ
 def score_buckets(df: DataFrame, by: Sequence[str] = TRAJ, order: Sequence[str] = ("t",), bucket: str = "bucket",
                   width: float = SLICE) -> DataFrame:
     """Rows with the final bucket after merging short segments and capping."""
-    rows = bucket_runs(df, by, order, bucket, width)
+    rows = cut(bucket_runs(df, by, order, bucket, width))
     segs = cap_to_dominant(merge_short(_segments_of(rows, by, bucket), by), by, "merged")
     out = rows.join(segs.select(*by, "run_id", "capped"), [*by, "run_id"])
     return tidy(out).drop("run_id", "step")

@@ -163,11 +163,22 @@ def messages_of_trajectory(spark, sf):
         F.count(F.lit(1)).alias("n"), F.min(F.unix_micros(F.col("ts").cast("timestamp"))).alias("first_us"))
 
 
-@query("trajectory_summary", POSES, """/*RECURSIVE*/
+CHAIN = """ord AS (SELECT *, row_number() OVER (PARTITION BY trajectory_id ORDER BY t) AS rn FROM poses),
+chain AS (SELECT trajectory_id, rn, id, t, x, y, t AS lt, x AS lx, y AS ly, k AS lk, true AS keep FROM ord WHERE rn = 1
+  UNION ALL SELECT trajectory_id, rn, id, t, x, y, CASE WHEN far THEN t ELSE lt END, CASE WHEN far THEN x ELSE lx END, CASE WHEN far THEN y ELSE ly END, CASE WHEN far THEN k ELSE lk END, far
+  FROM (SELECT o.*, c.lt, c.lx, c.ly, c.lk, sqrt(pow(o.x - c.lx, 2) + pow(o.y - c.ly, 2)) > {d} OR abs(o.k - c.lk) * 0.9e0 > {a} OR abs(o.t - c.lt) > {t} AS far
+        FROM chain c JOIN ord o ON o.trajectory_id = c.trajectory_id AND o.rn = c.rn + 1))"""
+
+
+@query("trajectory_summary", POSES, CHAIN.format(d="0.5e0", a="360e0", t="86400e0"), f"""/*RECURSIVE*/
 SELECT trajectory_id, count(*) AS frames, round(sum(step), 6) AS length, round(8.5e0 * sum(step), 6) AS area,
        min(x) AS min_x, max(x) AS max_x, min(y) AS min_y, max(y) AS max_y, count(fix) AS with_fix
-FROM (SELECT *, coalesce(sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2), 0e0) AS step FROM kf_fix WINDOW w AS (PARTITION BY trajectory_id ORDER BY t))
-GROUP BY trajectory_id""")
+FROM (SELECT *, coalesce(sqrt(pow(x - lag(x) OVER w, 2) + pow(y - lag(y) OVER w, 2)), 0e0) AS step,
+        CASE WHEN (t2 = t AND t1 IS NULL) OR (t2 - t1 <= {GAP} AND least(t - t1, t2 - t) <= {NEAR}) THEN 1 END AS fix
+      FROM (SELECT a.*, n.t AS t2 FROM (SELECT c.*, p.t AS t1 FROM (SELECT * FROM chain WHERE keep) c ASOF LEFT JOIN (SELECT trajectory_id, t FROM poses WHERE event_type = 'purchase') p
+              ON p.trajectory_id = c.trajectory_id AND c.t > p.t) a
+            ASOF LEFT JOIN (SELECT trajectory_id, t FROM poses WHERE event_type = 'purchase') n ON n.trajectory_id = a.trajectory_id AND a.t <= n.t)
+      WINDOW w AS (PARTITION BY trajectory_id ORDER BY t)) GROUP BY trajectory_id""")
 def trajectory_summary(spark, sf):
     d = V.posed(spark, sf)
     kf = sequence.extract_keyframes(d.select("trajectory_id", "id", "t", "x", "y", "pose"), 0.5, 360.0, 86_400.0, width=V.WIDTH)
