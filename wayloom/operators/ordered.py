@@ -44,15 +44,15 @@ def row_numbers(df: DataFrame, by: Sequence[str], order: Sequence[str], width: f
                 name: str = "_rn") -> DataFrame:
     """Exact 1-based row number per key: local number plus rows in earlier slices."""
     by = list(by)
-    d = df.withColumn("_slice", slice_of(order[0], width))
-    keys = [*by, "_slice"]
-    totals = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    d = df.withColumn("__slice", slice_of(order[0], width))
+    keys = [*by, "__slice"]
+    totals = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     starts = totals.select(
-        *keys, F.coalesce(F.sum("_n").over(_before(by, ["_slice"])), F.lit(0)).alias("_start"))
-    local = d.withColumn("_local", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        *keys, F.coalesce(F.sum("__n").over(_before(by, ["__slice"])), F.lit(0)).alias("__start"))
+    local = d.withColumn("__local", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return (local.join(starts, keys)
-            .withColumn(name, F.col("_local") + F.col("_start"))
-            .drop("_slice", "_local", "_start"))
+            .withColumn(name, F.col("__local") + F.col("__start"))
+            .drop("__slice", "__local", "__start"))
 
 
 def blocked(df: DataFrame, by: Sequence[str], order: Sequence[str], width: float = SLICE,
@@ -75,10 +75,10 @@ def near(df: DataFrame, by: Sequence[str], before: int, after: int,
     home = F.floor(at / F.lit(block))
     lo = F.greatest(F.lit(0), F.floor((at - after) / F.lit(block)))
     hi = F.floor((at + before) / F.lit(block))
-    copies = df.withColumn("_home", home).withColumn("_block", F.explode(F.sequence(lo, hi)))
+    copies = df.withColumn("__home", home).withColumn("_block", F.explode(F.sequence(lo, hi)))
     w = Window.partitionBy(*by, "_block").orderBy("_rn")
     out = copies.select("*", *[fn(w).alias(name) for name, fn in exprs.items()])
-    return out.filter(F.col("_block") == F.col("_home")).drop("_home")
+    return out.filter(F.col("_block") == F.col("__home")).drop("__home")
 
 
 def running(df: DataFrame, by: Sequence[str], sums: Mapping[str, Column],

@@ -63,50 +63,76 @@ def _cells(at: Sequence[str], level: Column, base: float, levels: int) -> list[C
     return [F.when(level >= levels, F.lit(0)).otherwise(F.floor(F.col(c) / size)).cast("long") for c in at]
 
 
-def knn_join(q: DataFrame, ref: DataFrame, k: int, q_at: Sequence[str] = ("x", "y"),
+def knn_index(ref: DataFrame, k: int, ref_at: Sequence[str] = ("x", "y"), ref_id: str = "id",
+              by: Sequence[str] = (), base: float = 1.0, levels: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Reference places in every grid level, and the cells that hold at least ``k`` references.
+
+    A place keeps its ``k`` lowest ids: further copies can never be in an answer.
+    """
+    by, names, at = list(by), [f"_c{i}" for i in range(len(ref_at))], [f"_a{i}" for i in range(len(ref_at))]
+    places = ref.select(*by, *[F.col(c).cast("double").alias(n) for c, n in zip(ref_at, at)],
+                        F.col(ref_id).alias("_rid"))
+    if k == 1:
+        places = places.groupBy(*by, *at).agg(F.array(F.min("_rid")).alias("_ids"))
+    else:
+        first_k = Window.partitionBy(*by, *at).orderBy("_rid")
+        places = (places.withColumn("_rk", F.row_number().over(first_k)).filter(F.col("_rk") <= k)
+                  .groupBy(*by, *at).agg(F.sort_array(F.collect_list("_rid")).alias("_ids")))
+    gridded = _gridded(places, at, names, base, levels)
+    held = (gridded.groupBy(*by, "_level", *names).agg(F.sum(F.size("_ids")).alias("_held"))
+            .filter(F.col("_held") >= k).drop("_held"))
+    return gridded, held
+
+
+def _gridded(d: DataFrame, at, names, base, levels) -> DataFrame:
+    d = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("_level"))
+    return d.select("*", *[c.alias(n) for c, n in zip(_cells(at, F.col("_level"), base, levels), names)])
+
+
+def knn_join(q: DataFrame, ref: DataFrame | None, k: int, q_at: Sequence[str] = ("x", "y"),
              ref_at: Sequence[str] = ("x", "y"), ref_id: str = "id", by: Sequence[str] = (),
-             base: float = 1.0, levels: int = 8) -> DataFrame:
+             base: float = 1.0, levels: int = 8, index: tuple[DataFrame, DataFrame] | None = None,
+             keep_place: bool = False) -> DataFrame:
     """The ``k`` nearest reference ids of every query row, exact, ties by id.
 
-    Returns the query columns plus ``ref_id``, ``dist`` and ``rank``.  Cell sizes
-    run over ``base·2^0 … base·2^(levels-1)``; one further level holds everything.
-    A query place takes the smallest cell of its own that holds at least ``k``
+    Returns the query columns plus ``ref_id``, ``dist`` and ``rank`` (and the
+    reference's coordinates ``ref_0 …`` with ``keep_place``).  Cell sizes run over
+    ``base·2^0 … base·2^(levels-1)``; one further level holds everything.  A query
+    place takes the smallest cell of its own that holds at least ``k``
     references; then all of the answer lies within one cell of twice that size.
     """
     by, dims = list(by), len(q_at)
     names = [f"_c{i}" for i in range(dims)]
     at = [f"_a{i}" for i in range(dims)]
-    places = ref.select(*by, *[F.col(c).cast("double").alias(n) for c, n in zip(ref_at, at)],
-                        F.col(ref_id).alias("_rid"))
-    first_k = Window.partitionBy(*by, *at).orderBy("_rid")
-    places = (places.withColumn("_rk", F.row_number().over(first_k)).filter(F.col("_rk") <= k)
-              .groupBy(*by, *at).agg(F.sort_array(F.collect_list("_rid")).alias("_ids")))
-    ladder = F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("_level")
+    gridded, held = index or knn_index(ref, k, ref_at, ref_id, by, base, levels)
     level = F.col("_level")
-    gridded = places.select("*", ladder)
-    gridded = gridded.select("*", *[c.alias(n) for c, n in zip(_cells(at, level, base, levels), names)])
-    held = (gridded.groupBy(*by, "_level", *names).agg(F.sum(F.size("_ids")).alias("_held"))
-            .filter(F.col("_held") >= k))
     asked = q.select(*by, *[F.col(c).cast("double").alias(n) for c, n in zip(q_at, at)]).distinct()
-    own = asked.select("*", ladder)
-    own = own.select("*", *[c.alias(n) for c, n in zip(_cells(at, level, base, levels), names)])
-    pick = (own.join(held, [*by, "_level", *names], "left")
-            .groupBy(*by, *at).agg(F.min(F.when(F.col("_held").isNotNull(), level)).alias("_fit")))
+    own = _gridded(asked, at, names, base, levels)
+    pick = (own.join(held.withColumn("_ok", F.lit(1)), [*by, "_level", *names], "left")
+            .groupBy(*by, *at).agg(F.min(F.when(F.col("_ok").isNotNull(), level)).alias("_fit")))
     pick = pick.select(*by, *at, F.least(F.coalesce(F.col("_fit") + 1, F.lit(levels)), F.lit(levels)).alias("_level"))
     cell = _cells(at, level, base, levels)
     search = F.when(level >= levels, F.array(F.struct(*[F.lit(0).cast("long").alias(n) for n in names]))).otherwise(
         _around(cell, names))
-    probe = pick.select(*by, *[F.col(n).alias(f"_q{n}") for n in at], "_level", F.explode(search).alias("_cell"))
-    probe = probe.select(*by, *[f"_q{n}" for n in at], "_level", "_cell.*")
+    qa = [f"_q{n}" for n in at]
+    probe = pick.select(*by, *[F.col(n).alias(m) for n, m in zip(at, qa)], "_level", F.explode(search).alias("_cell"))
+    probe = probe.select(*by, *qa, "_level", "_cell.*")
     pairs = probe.join(gridded, [*by, "_level", *names])
-    sq = sum(((F.col(f"_q{n}") - F.col(n)) * (F.col(f"_q{n}") - F.col(n)) for n in at[1:]),
-             (F.col(f"_q{at[0]}") - F.col(at[0])) * (F.col(f"_q{at[0]}") - F.col(at[0])))
-    pairs = pairs.select(*by, *[f"_q{n}" for n in at], sq.alias("_sq"), F.explode("_ids").alias("_rid"))
-    w = Window.partitionBy(*by, *[f"_q{n}" for n in at]).orderBy("_sq", "_rid")
-    best = pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    back = q.select("*", *[F.col(c).cast("double").alias(f"_q{n}") for c, n in zip(q_at, at)])
-    return (back.join(best, [*by, *[f"_q{n}" for n in at]])
-            .select(*q.columns, F.col("_rid").alias("ref_id"), F.sqrt("_sq").alias("dist"), "rank"))
+    sq = sum(((F.col(m) - F.col(n)) * (F.col(m) - F.col(n)) for m, n in zip(qa[1:], at[1:])),
+             (F.col(qa[0]) - F.col(at[0])) * (F.col(qa[0]) - F.col(at[0])))
+    spot = F.struct(*[F.col(n).alias(f"ref_{i}") for i, n in enumerate(at)])
+    if k == 1:  # a running minimum folds before the shuffle
+        first = F.col("_ids")[0]
+        best = pairs.groupBy(*by, *qa).agg(F.min(F.struct(sq.alias("_sq"), first.alias("_rid"), spot.alias("_spot"))).alias("_m"))
+        best = best.select(*by, *qa, "_m.*", F.lit(1).alias("rank"))
+    else:
+        pairs = pairs.select(*by, *qa, sq.alias("_sq"), spot.alias("_spot"), F.explode("_ids").alias("_rid"))
+        w = Window.partitionBy(*by, *qa).orderBy("_sq", "_rid")
+        best = pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    back = q.select("*", *[F.col(c).cast("double").alias(m) for c, m in zip(q_at, qa)])
+    return (back.join(best, [*by, *qa])
+            .select(*q.columns, F.col("_rid").alias("ref_id"), F.sqrt("_sq").alias("dist"), "rank",
+                    *(["_spot.*"] if keep_place else [])))
 
 
 def diverse_knn(q: DataFrame, ref: DataFrame, k: int = 40, min_gap: int = 20, take: int = 3,
