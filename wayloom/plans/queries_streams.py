@@ -33,7 +33,7 @@ def stream_preintegrate(spark, sf):
     d = events_stream(spark, sf).withColumn("vehicle_id", F.col("vehicle_id") % 2)
     wheel = F.col("event_type") == "purchase"
     s = d.select("vehicle_id", "t", F.lit(0.0).alias("wx"), F.lit(0.0).alias("wy"), F.col("y").alias("wz"),
-                 F.when(wheel, F.col("value") / 50).alias("v"))
+                 F.when(wheel, F.col("value") / 500).alias("v"))
     return ST.drain(ST.stream_preintegrate(s)).select("vehicle_id", "t", "x", "y", "qz")
 
 
