@@ -59,12 +59,21 @@ def radius_join(a: DataFrame, b: DataFrame, r: float, a_at: Sequence[str] = ("x"
 
 
 def _cells(at: Sequence[str], level: Column, base: float, levels: int) -> list[Column]:
-    size = F.lit(base) * F.pow(F.lit(2.0), level)
+    size = F.element_at(F.array(*[F.lit(base * 2.0**i) for i in range(levels)]), F.least(level + 1, F.lit(levels)))
     return [F.when(level >= levels, F.lit(0)).otherwise(F.floor(F.col(c) / size)).cast("long") for c in at]
 
 
+def _levels_for(base: float, levels: int, max_d: float | None) -> tuple[int, int]:
+    """Number of sized levels and the last level in use (the sized ones only, if ``max_d`` bounds the search)."""
+    if max_d is None:
+        return levels, levels
+    sized = max(1, math.ceil(math.log2(max(max_d / base, 1.0))) + 1)
+    return sized, sized - 1
+
+
 def knn_index(ref: DataFrame, k: int, ref_at: Sequence[str] = ("x", "y"), ref_id: str = "id",
-              by: Sequence[str] = (), base: float = 1.0, levels: int = 8) -> tuple[DataFrame, DataFrame]:
+              by: Sequence[str] = (), base: float = 1.0, levels: int = 8,
+              max_d: float | None = None) -> tuple[DataFrame, DataFrame]:
     """Reference places in every grid level, and the cells that hold at least ``k`` references.
 
     A place keeps its ``k`` lowest ids: further copies can never be in an answer.
@@ -78,21 +87,22 @@ def knn_index(ref: DataFrame, k: int, ref_at: Sequence[str] = ("x", "y"), ref_id
         first_k = Window.partitionBy(*by, *at).orderBy("_rid")
         places = (places.withColumn("_rk", F.row_number().over(first_k)).filter(F.col("_rk") <= k)
                   .groupBy(*by, *at).agg(F.sort_array(F.collect_list("_rid")).alias("_ids")))
-    gridded = _gridded(places, at, names, base, levels)
+    levels, top = _levels_for(base, levels, max_d)
+    gridded = _gridded(places, at, names, base, levels, top)
     held = (gridded.groupBy(*by, "_level", *names).agg(F.sum(F.size("_ids")).alias("_held"))
             .filter(F.col("_held") >= k).drop("_held"))
     return gridded, held
 
 
-def _gridded(d: DataFrame, at, names, base, levels) -> DataFrame:
-    d = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("_level"))
+def _gridded(d: DataFrame, at, names, base, levels, top) -> DataFrame:
+    d = d.select("*", F.explode(F.sequence(F.lit(0), F.lit(top))).alias("_level"))
     return d.select("*", *[c.alias(n) for c, n in zip(_cells(at, F.col("_level"), base, levels), names)])
 
 
 def knn_join(q: DataFrame, ref: DataFrame | None, k: int, q_at: Sequence[str] = ("x", "y"),
              ref_at: Sequence[str] = ("x", "y"), ref_id: str = "id", by: Sequence[str] = (),
              base: float = 1.0, levels: int = 8, index: tuple[DataFrame, DataFrame] | None = None,
-             keep_place: bool = False) -> DataFrame:
+             keep_place: bool = False, max_d: float | None = None, places: bool = False) -> DataFrame:
     """The ``k`` nearest reference ids of every query row, exact, ties by id.
 
     Returns the query columns plus ``ref_id``, ``dist`` and ``rank`` (and the
@@ -100,39 +110,53 @@ def knn_join(q: DataFrame, ref: DataFrame | None, k: int, q_at: Sequence[str] =
     ``base·2^0 … base·2^(levels-1)``; one further level holds everything.  A query
     place takes the smallest cell of its own that holds at least ``k``
     references; then all of the answer lies within one cell of twice that size.
+    With ``max_d`` only references within that distance count, and cells stop
+    growing there; give :func:`knn_index` the same bound.  With ``places`` the
+    result has one set of rows per distinct query place (``by``, ``q_at``) with
+    its ``count`` of query rows instead of the query columns.
     """
     by, dims = list(by), len(q_at)
     names = [f"_c{i}" for i in range(dims)]
     at = [f"_a{i}" for i in range(dims)]
-    gridded, held = index or knn_index(ref, k, ref_at, ref_id, by, base, levels)
+    gridded, held = index or knn_index(ref, k, ref_at, ref_id, by, base, levels, max_d)
+    levels, top = _levels_for(base, levels, max_d)
     level = F.col("_level")
-    asked = q.select(*by, *[F.col(c).cast("double").alias(n) for c, n in zip(q_at, at)]).distinct()
-    own = _gridded(asked, at, names, base, levels)
+    asked = q.select(*by, *[F.col(c).cast("double").alias(n) for c, n in zip(q_at, at)])
+    asked = asked.groupBy(*by, *at).agg(F.count(F.lit(1)).alias("_w"))
+    own = _gridded(asked, at, names, base, levels, top)
     pick = (own.join(held.withColumn("_ok", F.lit(1)), [*by, "_level", *names], "left")
-            .groupBy(*by, *at).agg(F.min(F.when(F.col("_ok").isNotNull(), level)).alias("_fit")))
-    pick = pick.select(*by, *at, F.least(F.coalesce(F.col("_fit") + 1, F.lit(levels)), F.lit(levels)).alias("_level"))
-    cell = _cells(at, level, base, levels)
-    search = F.when(level >= levels, F.array(F.struct(*[F.lit(0).cast("long").alias(n) for n in names]))).otherwise(
-        _around(cell, names))
+            .groupBy(*by, *at).agg(F.min(F.when(F.col("_ok").isNotNull(), level)).alias("_fit"), F.max("_w").alias("_w")))
+    pick = pick.select(*by, *at, "_w", F.least(F.coalesce(F.col("_fit") + 1, F.lit(top)), F.lit(top)).alias("_level"))
     qa = [f"_q{n}" for n in at]
-    probe = pick.select(*by, *[F.col(n).alias(m) for n, m in zip(at, qa)], "_level", F.explode(search).alias("_cell"))
-    probe = probe.select(*by, *qa, "_level", "_cell.*")
+    home = [f"_h{i}" for i in range(dims)]
+    probe = pick.select(*by, *[F.col(n).alias(m) for n, m in zip(at, qa)], "_w", "_level",
+                        *[c.alias(n) for c, n in zip(_cells(at, level, base, levels), home)])
+    here = F.array(F.lit(0).cast("long"))
+    beside = F.when(level >= levels, here).otherwise(F.array(*[F.lit(o).cast("long") for o in (-1, 0, 1)]))
+    for h, n in zip(home, names):
+        probe = probe.withColumn("_o", F.explode(beside)).withColumn(n, F.col(h) + F.col("_o")).drop("_o", h)
     pairs = probe.join(gridded, [*by, "_level", *names])
     sq = sum(((F.col(m) - F.col(n)) * (F.col(m) - F.col(n)) for m, n in zip(qa[1:], at[1:])),
              (F.col(qa[0]) - F.col(at[0])) * (F.col(qa[0]) - F.col(at[0])))
+    if max_d is not None:
+        pairs = pairs.filter(sq <= max_d * max_d)
     spot = F.struct(*[F.col(n).alias(f"ref_{i}") for i, n in enumerate(at)])
     if k == 1:  # a running minimum folds before the shuffle
         first = F.col("_ids")[0]
-        best = pairs.groupBy(*by, *qa).agg(F.min(F.struct(sq.alias("_sq"), first.alias("_rid"), spot.alias("_spot"))).alias("_m"))
-        best = best.select(*by, *qa, "_m.*", F.lit(1).alias("rank"))
+        best = pairs.groupBy(*by, *qa).agg(F.min(F.struct(sq.alias("_sq"), first.alias("_rid"), spot.alias("_spot"))).alias("_m"),
+                                            F.max("_w").alias("_w"))
+        best = best.select(*by, *qa, "_w", "_m.*", F.lit(1).alias("rank"))
     else:
-        pairs = pairs.select(*by, *qa, sq.alias("_sq"), spot.alias("_spot"), F.explode("_ids").alias("_rid"))
+        pairs = pairs.select(*by, *qa, "_w", sq.alias("_sq"), spot.alias("_spot"), F.explode("_ids").alias("_rid"))
         w = Window.partitionBy(*by, *qa).orderBy("_sq", "_rid")
         best = pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    kept = ["_spot.*"] if keep_place else []
+    if places:
+        return best.select(*by, *[F.col(m).alias(c) for c, m in zip(q_at, qa)], F.col("_w").alias("count"),
+                           F.col("_rid").alias("ref_id"), F.sqrt("_sq").alias("dist"), "rank", *kept)
     back = q.select("*", *[F.col(c).cast("double").alias(m) for c, m in zip(q_at, qa)])
     return (back.join(best, [*by, *qa])
-            .select(*q.columns, F.col("_rid").alias("ref_id"), F.sqrt("_sq").alias("dist"), "rank",
-                    *(["_spot.*"] if keep_place else [])))
+            .select(*q.columns, F.col("_rid").alias("ref_id"), F.sqrt("_sq").alias("dist"), "rank", *kept))
 
 
 def diverse_knn(q: DataFrame, ref: DataFrame, k: int = 40, min_gap: int = 20, take: int = 3,
@@ -218,10 +242,12 @@ def fitness(src: DataFrame, tgt: DataFrame, poses: DataFrame, max_d: float, base
     mx, my, mz = P.transform(F.col("pose"), "x", "y", "z")
     moved = moved.select("pair_id", mx.alias("x"), my.alias("y"), mz.alias("z"))
     at = ("x", "y", "z")
-    hits = knn_join(moved, tgt, 1, at, at, "pt", ["pair_id"], base, levels)
+    # nearest squared distance is compared with max_d itself, as the original does
+    hits = knn_join(moved, tgt, 1, at, at, "pt", ["pair_id"], base, levels, places=True)
     sq = F.col("dist") * F.col("dist")
-    return hits.groupBy("pair_id").agg(F.avg(F.when(sq <= max_d, sq)).alias("fitness"),
-                                       F.count(F.when(sq <= max_d, 1)).alias("n_close"))
+    n = F.coalesce(F.sum(F.when(sq <= max_d, F.col("count"))), F.lit(0))
+    total = F.sum(F.when(sq <= max_d, sq * F.col("count")))
+    return hits.groupBy("pair_id").agg((total / n).alias("fitness"), n.alias("n_close"))
 
 
 def compare_paths(a: DataFrame, b: DataFrame, large: float = 0.5, large_heading: float = 5.0) -> DataFrame:
