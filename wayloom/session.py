@@ -18,6 +18,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # small tables, many cores: keep one task per core instead of merging small partitions
         .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        # call-site capture costs a stack walk per column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("WAYLOOM_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
