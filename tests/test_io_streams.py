@@ -110,7 +110,7 @@ def test_recent_and_submaps_over_triggers(spark, tmp_path):
 
 def test_windows_close_behind_the_watermark(spark, tmp_path):
     """Append mode emits closed windows only; rows beyond the watermark are not counted."""
-    batches = [[row(1, 10, 0, 0), row(1, 50, 1, 0)], [row(1, 400, 2, 0)], [row(1, 20, 3, 0), row(1, 900, 4, 0)], [row(1, 1500, 5, 0)]]
+    batches = [[row(1, 10, 0, 0), row(1, 50, 1, 0)], [row(1, 400, 2, 0)], [row(1, 900, 4, 0)], [row(1, 20, 3, 0), row(1, 1500, 5, 0)]]
     h = ST.stream_health(feed(spark, str(tmp_path / "in"), batches), "1 minute", by=["vehicle_id"])
     got = {r["start"]: r["n"] for r in ST.drain(h).collect()}
     assert got[T0] == 2 and sum(got.values()) <= 4

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,6 +29,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
 
 
@@ -45,3 +48,20 @@ def cut(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="wayloom-checkpoint-")
         sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context.
+
+    Workers import it wherever they run; nothing needs to be installed there.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_wayloom_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="wayloom-package-")) / "wayloom.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, Path("wayloom") / f.relative_to(root))
+    sc.addPyFile(str(archive))
+    sc._wayloom_shipped = True
