@@ -1,8 +1,10 @@
 """The queries of this package by name, and SQL where SQL can say the same."""
 
-from wayloom.llm import mixing
+from wayloom.llm import lang_id, mixing, pii
 
 QUERIES = {
+    "op1_skip_chain": pii.op1_skip_chain,
+    "op8_byte_cnn": lang_id.op8_byte_cnn,
     "op10_source_schedule": mixing.op10_source_schedule,
 }
 ORACLES = {
