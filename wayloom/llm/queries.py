@@ -1,12 +1,17 @@
 """The queries of this package by name, and SQL where SQL can say the same."""
 
-from wayloom.llm import lang_id, mixing, pii
+from wayloom.llm import lang_id, licenses, link_trust, mixing, pii, topk
 
 QUERIES = {
     "op1_skip_chain": pii.op1_skip_chain,
+    "op3_link_trust": link_trust.op3_link_trust,
+    "op7_norm_buckets": topk.op7_norm_buckets,
     "op8_byte_cnn": lang_id.op8_byte_cnn,
+    "op9_patience_licenses": licenses.op9_patience_licenses,
     "op10_source_schedule": mixing.op10_source_schedule,
 }
 ORACLES = {
+    "op3_link_trust": link_trust.OP3_SQL,
+    "op7_norm_buckets": topk.OP7_SQL,
     "op10_source_schedule": mixing.OP10_SQL,
 }
