@@ -1,9 +1,10 @@
 """The queries of this package by name, and SQL where SQL can say the same."""
 
-from wayloom.llm import lang_id, licenses, link_trust, mixing, pii, topk
+from wayloom.llm import decontaminate, lang_id, licenses, link_trust, mixing, pii, topk
 
 QUERIES = {
     "op1_skip_chain": pii.op1_skip_chain,
+    "op2_cgk_windows": decontaminate.op2_cgk_windows,
     "op3_link_trust": link_trust.op3_link_trust,
     "op7_norm_buckets": topk.op7_norm_buckets,
     "op8_byte_cnn": lang_id.op8_byte_cnn,
