@@ -1,11 +1,12 @@
 """The queries of this package by name, and SQL where SQL can say the same."""
 
-from wayloom.llm import decontaminate, lang_id, licenses, link_trust, mixing, pii, topk
+from wayloom.llm import decontaminate, jaccard, lang_id, licenses, link_trust, mixing, pii, topk
 
 QUERIES = {
     "op1_skip_chain": pii.op1_skip_chain,
     "op2_cgk_windows": decontaminate.op2_cgk_windows,
     "op3_link_trust": link_trust.op3_link_trust,
+    "op6_shingle_join": jaccard.op6_shingle_join,
     "op7_norm_buckets": topk.op7_norm_buckets,
     "op8_byte_cnn": lang_id.op8_byte_cnn,
     "op9_patience_licenses": licenses.op9_patience_licenses,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 ORACLES = {
     "op3_link_trust": link_trust.OP3_SQL,
+    "op6_shingle_join": jaccard.OP6_SQL,
     "op7_norm_buckets": topk.OP7_SQL,
     "op10_source_schedule": mixing.OP10_SQL,
 }
