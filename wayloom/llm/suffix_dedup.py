@@ -171,7 +171,7 @@ def _shared_grams(rows: DataFrame, parts: int, hot: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([texts[o].tobytes() for o in own[at]], pa.binary()), pa.array(pos[at].astype(np.int64) * 2 + (n[at] > hot))], names=["key", "v"])
 
-    return rows.where("part is not null").select("part", "texts", "places").repartition(max(1, parts // 4), "part").mapInArrow(
+    return rows.where("part is not null").select("part", "texts", "places").repartition(parts, "part").mapInArrow(
         run, "key binary, v long")
 
 
@@ -417,7 +417,7 @@ def _marks(runs: DataFrame, length: int, parts: int) -> DataFrame:
             cols = list(zip(*rows, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], names=["key", "lo", "hi"])
 
-    return runs.repartition(max(1, parts // 4), "kind", "part").mapInArrow(run, "key binary, lo long, hi long")
+    return runs.repartition(parts, "kind", "part").mapInArrow(run, "key binary, lo long, hi long")
 
 
 def _merged(blobs: list[bytes], length: int) -> Iterator[tuple[bytes, int, int]]:
@@ -506,7 +506,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, hot: int = 4096, key: str
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
     spark = docs.sparkSession
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = stored(_surveyed(docs, length, parts, key, text))
     d = rows.where("part is null").select("doc_id", "key", "n_bytes", "sha")
     shared = _shared_grams(rows, parts, hot).groupBy("key").agg(F.collect_list("v").alias("at"))
