@@ -88,23 +88,26 @@ def row(v, s, i, x, yaw=0.0, topic="pose"):
     return (v, topic, T0 + dt.timedelta(seconds=s), i, float(x), 0.0, yaw, 1.0)
 
 
-def test_keyframes_over_triggers_and_late_rows(spark, tmp_path):
-    """State passes from trigger to trigger; a row older than the last one used is dropped."""
+LATER = [row(9, 10_000, 1000, 0)]  # moves the watermark past all other rows
+
+
+def test_keyframes_over_triggers_in_time_order(spark, tmp_path):
+    """Rows that come late inside the watermark, and rows of equal time, are used in time order."""
     batches = [[row(1, 0, 0, 0), row(1, 2, 2, 0.1), row(1, 1, 1, 0.0), row(1, 3, 3, 0.2)],
                [row(1, 2.5, 99, 50.0), row(1, 4, 4, 0.3), row(1, 5, 5, 0.9), row(1, 6, 6, 0.9, topic="other")],
-               [row(1, 7, 7, 1.0, 0.5), row(2, 8, 8, 1.0)]]
-    d = ST.stream_keyframes(feed(spark, str(tmp_path / "in"), batches).select("vehicle_id", "t", "frame_id", "x", "y", "yaw"))
-    got = [(r["vehicle_id"], r["frame_id"], r["keyframe_no"]) for r in ST.drain(d).orderBy("t").collect()]
-    # 0, 1, 2 always; 3 and 4 are near 2; 5 moved; 7 turned
-    assert got == [(1, 0, 0), (1, 1, 1), (1, 2, 2), (1, 5, 3), (1, 7, 4), (2, 8, 0)]
+               [row(1, 5, 55, 9.0), row(1, 7, 7, 9.1, 0.5), row(2, 8, 8, 1.0)], LATER]
+    d = ST.stream_keyframes(feed(spark, str(tmp_path / "in"), batches).select("vehicle_id", "t", "ts", "frame_id", "x", "y", "yaw"))
+    got = [(r["vehicle_id"], r["frame_id"], r["keyframe_no"]) for r in ST.drain(d).where("vehicle_id < 9").orderBy("vehicle_id", "keyframe_no").collect()]
+    # 0, 1, 2 always; 99 and 3 moved; 4 is near 3; 5 and 55 moved; 7 turned
+    assert got == [(1, 0, 0), (1, 1, 1), (1, 2, 2), (1, 99, 3), (1, 3, 4), (1, 5, 5), (1, 55, 6), (1, 7, 7), (2, 8, 0)]
 
 
 def test_recent_and_submaps_over_triggers(spark, tmp_path):
-    batches = [[row(1, i, i, i) for i in range(0, 5)], [row(1, i, i, i) for i in range(5, 9)]]
+    batches = [[row(1, i, i, i) for i in (0, 1, 4, 3)], [row(1, i, i, i) for i in (2, 5, 6)], [row(1, i, i, i) for i in (8, 7)], LATER]
     src = feed(spark, str(tmp_path / "in"), batches)
-    r = {x["frame_id"]: x["recent"] for x in ST.drain(ST.recent_frames(src.select("vehicle_id", "t", "frame_id"), 4)).collect()}
+    r = {x["frame_id"]: x["recent"] for x in ST.drain(ST.recent_frames(src.select("vehicle_id", "t", "ts", "frame_id"), 4)).collect()}
     assert r[2] == [0, 1, 2] and r[6] == [3, 4, 5, 6] and r[8] == [5, 6, 7, 8]
-    s = {x["frame_id"]: (x["submap_no"], x["local_x"]) for x in ST.drain(ST.stream_submaps(src.select("vehicle_id", "t", "frame_id", "x", "y", "yaw"), size=3)).collect()}
+    s = {x["frame_id"]: (x["submap_no"], x["local_x"]) for x in ST.drain(ST.stream_submaps(src.select("vehicle_id", "t", "ts", "frame_id", "x", "y", "yaw"), size=3)).collect()}
     assert s[4] == (1, 1.0) and s[5] == (1, 2.0) and s[8] == (2, 2.0)
 
 
@@ -121,8 +124,8 @@ def test_preintegration_turns(spark, tmp_path):
     d = spark.createDataFrame([(1, T0 + dt.timedelta(seconds=t), w, None) for t, w in imu] + [(1, T0 + dt.timedelta(seconds=2.455), None, 2.0)],
                               "vehicle_id long, ts timestamp, wz double, v double")
     d.coalesce(1).write.parquet(str(tmp_path / "in"))
-    s = ST.read_stream(spark, str(tmp_path / "in"), d.schema)
-    s = s.select("vehicle_id", (F.unix_micros("ts") / 1e6).alias("t"), F.lit(0.0).alias("wx"), F.lit(0.0).alias("wy"), "wz", "v")
+    s = ST.read_stream(spark, str(tmp_path / "in"), d.schema, watermark="0 seconds")
+    s = s.select("vehicle_id", "ts", (F.unix_micros("ts") / 1e6).alias("t"), F.lit(0.0).alias("wx"), F.lit(0.0).alias("wy"), "wz", "v")
     last = ST.drain(ST.stream_preintegrate(s)).orderBy(F.desc("t")).first()
     assert 2 * __import__("math").atan2(last["qz"], last["qw"]) == pytest.approx(0.5 * 2.5, abs=0.01)
     assert last["x"] > 3.5

@@ -13,9 +13,12 @@ from wayloom.streaming import streams as ST
 
 
 def events_stream(spark, sf):
-    """The event table as a stream of frames: ``vehicle_id, t, ts, frame_id, x, y, yaw``."""
+    """The event table as a stream of frames: ``vehicle_id, t, ts, frame_id, x, y, yaw``.
+
+    All rows come in one trigger and none later, so the watermark needs no delay.
+    """
     schema = V.table(spark, sf, "events").schema
-    d = ST.read_stream(spark, sf, schema, watermark="1 hour", glob="events.parquet")
+    d = ST.read_stream(spark, sf, schema, watermark="0 seconds", glob="events.parquet")
     k = F.get_json_object("props", "$.k").cast("int")
     return d.select(F.col("user_id").alias("vehicle_id"), "ts", (F.unix_micros("ts") / 1e6).alias("t"), F.col("event_id").alias("frame_id"),
                     "event_type", "value", (k / 8.0).alias("x"), ((F.col("event_id") % 9 - 4) / 4.0).alias("y"), F.radians(k * 0.9).alias("yaw"))
@@ -32,7 +35,7 @@ def stream_source(spark, sf):
 def stream_preintegrate(spark, sf):
     d = events_stream(spark, sf).withColumn("vehicle_id", F.col("vehicle_id") % 2)
     wheel = F.col("event_type") == "purchase"
-    s = d.select("vehicle_id", "t", F.lit(0.0).alias("wx"), F.lit(0.0).alias("wy"), F.col("y").alias("wz"),
+    s = d.select("vehicle_id", "t", "ts", F.lit(0.0).alias("wx"), F.lit(0.0).alias("wy"), F.col("y").alias("wz"),
                  F.when(wheel, F.col("value") / 500).alias("v"))
     return ST.drain(ST.stream_preintegrate(s)).select("vehicle_id", "t", "x", "y", "qz")
 
@@ -45,7 +48,7 @@ chain AS (SELECT trajectory_id, rn, id, 1 AS n, px AS lx, py AS ly, k AS lk, tru
         FROM chain c JOIN ord o ON o.trajectory_id = c.trajectory_id AND o.rn = c.rn + 1))""", """/*RECURSIVE*/
 SELECT trajectory_id AS vehicle_id, id AS frame_id, n - 1 AS keyframe_no FROM chain WHERE keep""")
 def stream_keyframes(spark, sf):
-    d = ST.stream_keyframes(events_stream(spark, sf).select("vehicle_id", "t", "frame_id", "x", "y", "yaw"), dist=2.0, angle=30 * P.RAD)
+    d = ST.stream_keyframes(events_stream(spark, sf).select("vehicle_id", "t", "ts", "frame_id", "x", "y", "yaw"), dist=2.0, angle=30 * P.RAD)
     return ST.drain(d).select("vehicle_id", "frame_id", "keyframe_no")
 
 
@@ -56,7 +59,7 @@ SUBMAPS = """sm AS (SELECT *, k / 8e0 AS px, (id % 9 - 4) / 4e0 AS py, radians(k
 SELECT trajectory_id AS vehicle_id, id AS frame_id, submap_no, round(cos(ba) * (px - bx) + sin(ba) * (py - by_), 6) + 0e0 AS local_x, round(-sin(ba) * (px - bx) + cos(ba) * (py - by_), 6) + 0e0 AS local_y
 FROM (SELECT *, first_value(px) OVER w AS bx, first_value(py) OVER w AS by_, first_value(a) OVER w AS ba FROM sm WINDOW w AS (PARTITION BY trajectory_id, submap_no ORDER BY t))""")
 def stream_submaps(spark, sf):
-    d = ST.stream_submaps(events_stream(spark, sf).select("vehicle_id", "t", "frame_id", "x", "y", "yaw"), size=11)
+    d = ST.stream_submaps(events_stream(spark, sf).select("vehicle_id", "t", "ts", "frame_id", "x", "y", "yaw"), size=11)
     return ST.drain(d).select("vehicle_id", "frame_id", "submap_no", r6("local_x").alias("local_x"), r6("local_y").alias("local_y"))
 
 
@@ -70,7 +73,7 @@ RECENT = "SELECT id AS frame_id, len(l) AS n, l[1] AS oldest FROM (SELECT id, li
 
 @query("recent_frames_t4", POSES, RECENT)
 def recent_frames(spark, sf):
-    d = ST.drain(ST.recent_frames(events_stream(spark, sf).select("vehicle_id", "t", "frame_id"), 30))
+    d = ST.drain(ST.recent_frames(events_stream(spark, sf).select("vehicle_id", "t", "ts", "frame_id"), 30))
     return d.select("frame_id", F.size("recent").cast("long").alias("n"), F.col("recent")[0].alias("oldest"))
 
 
@@ -108,11 +111,14 @@ def marks_batch(spark, sf):
 
 
 @query("stream_marks_t7", POSES, """
-SELECT q.trajectory_id AS vehicle_id, q.id AS mark_id, arg_min(f.id, f.t) AS frame_id FROM poses q JOIN poses f ON q.event_type = 'click' AND f.event_type <> 'click' AND f.trajectory_id = q.trajectory_id AND f.t >= q.t AND f.t <= q.t + 172800 GROUP BY 1, 2""")
+SELECT q.trajectory_id AS vehicle_id, q.id AS mark_id, arg_min(f.id, f.t) AS frame_id FROM poses q LEFT JOIN poses f ON f.event_type <> 'click' AND f.trajectory_id = q.trajectory_id AND f.t >= q.t AND f.t <= q.t + 172800 WHERE q.event_type = 'click' GROUP BY 1, 2""")
 def stream_marks(spark, sf):
     frames = events_stream(spark, sf).filter("event_type <> 'click'").select("vehicle_id", "ts", "frame_id")
     marks = events_stream(spark, sf).filter("event_type = 'click'").select("vehicle_id", F.col("ts").alias("mark_ts"), F.col("frame_id").alias("mark_id"))
-    return ST.next_frame(ST.drain(ST.stream_marks(frames, marks, "48 hours")))
+    found = ST.next_frame(ST.drain(ST.stream_marks(frames, marks, "48 hours")))
+    # marks whose horizon the stream has not reached yet are still waiting; they have no frame so far
+    known = V.table(spark, sf, "events").filter("event_type = 'click'").select(F.col("user_id").alias("vehicle_id"), F.col("event_id").alias("mark_id"))
+    return known.join(found, ["vehicle_id", "mark_id"], "left")
 
 
 @query("stream_health_t9", """

@@ -1,14 +1,17 @@
 """The online steps as Structured Streaming jobs with event time.
 
-State is kept per vehicle and is small: a count, a pose, a short list.  Rows of
-one trigger are put in time order per vehicle; rows older than the newest one
-already used are late and dropped, and the watermark bounds how long that is.
+State is kept per vehicle: a count, a pose, a short list, and the rows that the
+watermark has not passed yet.  Those wait, so rows that come out of order inside
+the watermark are used in time order (rows of equal time all count); a stream gives
+its last rows when its watermark moves beyond them.  ``read_stream(watermark=…)``
+bounds both the wait and what is held.
 """
 
 from __future__ import annotations
 
 import math
 import os
+import pickle
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -63,23 +66,39 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
 
 
 def _stateful(stream: DataFrame, key: str, out: str, state: str, fn: Callable, time_col: str = "t") -> DataFrame:
-    """Apply ``fn(sorted rows, state values or None) -> (rows out, new state)`` per key and trigger."""
-    n = len(T._parse_datatype_string(state).fields)
+    """Apply ``fn(sorted rows, state values or None) -> (rows out, new state)`` per key as the watermark passes rows.
+
+    ``stream`` needs its watermarked time column beside ``time_col`` (seconds).
+    """
+    fields = T._parse_datatype_string(state).fields
+    n = len(fields)
 
     def run(k, batches: Iterator[pd.DataFrame], st: GroupState):
-        rows = pd.concat(list(batches))
-        old = tuple(st.get) if st.exists else None
-        rows = rows.sort_values(time_col, kind="stable")
-        if old is not None:
-            rows = rows[rows[time_col] > old[0]]
-        if len(rows):
-            res, new = fn(rows, old)
-            assert len(new) == n
-            st.update(new)
+        old, parts = None, []
+        if st.exists:
+            *values, used, held = st.get
+            old = tuple(values) if used else None
+            parts = [pickle.loads(held)] if held else []
+        if not st.hasTimedOut:
+            parts += list(batches)
+        rows = pd.concat(parts).sort_values(time_col, kind="stable")
+        mark = st.getCurrentWatermarkMs()
+        ms = np.floor(rows[time_col].to_numpy(float) * 1000)
+        ready, rest = rows[ms <= mark], rows[ms > mark]
+        res = None
+        if len(ready):
+            res, old = fn(ready, old)
+            assert len(old) == n
+        blank = tuple([] if isinstance(f.dataType, T.ArrayType) else None for f in fields)
+        st.update((*(old or blank), old is not None, pickle.dumps(rest) if len(rest) else None))
+        if len(rest):
+            st.setTimeoutTimestamp(int(max(mark + 1, ms[ms > mark].min() - 1)))
+        if res is not None:
             res.insert(0, key, k[0])
             yield res
 
-    return stream.groupBy(key).applyInPandasWithState(run, f"{key} long, {out}", state, "append", GroupStateTimeout.NoTimeout)
+    return stream.groupBy(key).applyInPandasWithState(
+        run, f"{key} long, {out}", f"{state}, used boolean, held binary", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # --- motion ---------------------------------------------------------------------------
@@ -256,9 +275,10 @@ def stream_loop_candidates(frames: DataFrame, submaps: Callable[[], DataFrame],
 
 
 def correct_submaps(submaps: DataFrame, edges: DataFrame, iters: int = 15) -> DataFrame:
-    """New sub-map poses from chain and loop edges; the first sub-map stays."""
-    first = submaps.agg(F.min("id").alias("_f"))  # one row
-    d = submaps.crossJoin(F.broadcast(first)).withColumn("fixed", F.col("id") == F.col("_f")).drop("_f")
+    """New sub-map poses from chain and loop edges; the first sub-map of each map (column ``map_id``, if there) stays."""
+    by = ["map_id"] if "map_id" in submaps.columns else []
+    first = submaps.groupBy(*by).agg(F.min("id").alias("id")).select("id", F.lit(True).alias("fixed"))
+    d = submaps.join(first, "id", "left").withColumn("fixed", F.coalesce("fixed", F.lit(False)))
     return optimise_poses(d, edges, iters)
 
 
@@ -279,12 +299,13 @@ def stream_marks(frames: DataFrame, marks: DataFrame, horizon: str = "10 seconds
 
     ``frames``: key, ``ts, frame_id``; ``marks``: key, ``mark_ts, mark_id``.  The
     join keeps only rows inside the horizon as state; :func:`next_frame` picks
-    the first frame per mark.
+    the first frame per mark.  A mark without a frame comes with NULL once the
+    watermark is past its horizon.
     """
     f = frames.select(F.col(key).alias("_k"), F.col("ts").alias("frame_ts"), "frame_id")
     on = (F.col(key) == F.col("_k")) & (F.col("frame_ts") >= F.col("mark_ts")) & (
         F.col("frame_ts") <= F.col("mark_ts") + F.expr(f"interval {horizon}"))
-    return marks.join(f, on).drop("_k")
+    return marks.join(f, on, "leftOuter").drop("_k")
 
 
 def next_frame(joined: DataFrame, key: str = "vehicle_id") -> DataFrame:
