@@ -129,18 +129,36 @@ def classify_files(paths: DataFrame, col: str = "path", order: str = "seq",
     return first.select("name", col, order, F.explode(F.filter(tags, lambda c: c.isNotNull())).alias("class"))
 
 
-LOG_NAME = r"^.*/ConvertData/+([d,z].*?)_(ENFORCE_)?((\d*)_)*(part(\d+)*_)*V.bag$"  # fixed value: name pattern
-
-
 def parse_log_name(path) -> Column:
-    """``STRUCT<ok, name, has_part, part, time>`` of a converted log's path."""
+    """``STRUCT<ok, name, has_part, part, time>`` of a converted log's path.
+
+    ``…/ConvertData/NAME[_ENFORCE][_DIGITS…][_partN…]_V.bag``, NAME starting with
+    ``d``, ``z`` or a comma.  The name is split at ``_`` once, and its end is read
+    token by token: parts, digits, the flag; what is left is NAME.
+    """
     c = F.col(path) if isinstance(path, str) else path
-    ok = c.rlike(LOG_NAME)
-    stamp = F.regexp_extract(c, LOG_NAME, 4)
+    base = F.regexp_replace(F.element_at(F.split(c, "/ConvertData/"), -1), "^/+", "")
+    toks = F.split(base, "_")
+    back = F.reverse(F.slice(toks, 1, F.greatest(F.size(toks) - 1, F.lit(0))))
+    start = F.struct(F.lit(0).alias("phase"), F.lit(0).alias("parts"), F.lit(0).alias("digits"), F.lit(0).alias("flag"))
+
+    def step(a, tok):
+        part = (a["phase"] == 0) & tok.rlike(r"^part\d*$")
+        digit = (a["phase"] <= 1) & tok.rlike(r"^\d*$")
+        flag = (a["phase"] <= 2) & (tok == "ENFORCE")
+        return F.struct(F.when(part, 0).when(digit, 1).when(flag, 3).otherwise(4).alias("phase"),
+                        (a["parts"] + part.cast("int")).alias("parts"), (a["digits"] + digit.cast("int")).alias("digits"),
+                        (a["flag"] + flag.cast("int")).alias("flag"))
+
+    end = F.aggregate(back, start, step)
+    used = end["parts"] + end["digits"] + end["flag"]
+    ok = (c.contains("/ConvertData/") & base.rlike("^[d,z]") & F.element_at(toks, -1).rlike("^V.bag$") & (F.size(back) > used))
+    numbered = F.filter(F.slice(back, 1, end["parts"]), lambda x: x != "part")
+    stamp = F.when(end["digits"] > 0, F.get(back, end["parts"]))
     return F.when(ok, F.struct(
-        F.lit(True).alias("ok"), F.regexp_extract(c, LOG_NAME, 1).alias("name"),
-        (F.length(F.regexp_extract(c, LOG_NAME, 5)) > 0).alias("has_part"),
-        F.coalesce(F.regexp_extract(c, LOG_NAME, 6).try_cast("int"), F.lit(0)).alias("part"),
+        F.lit(True).alias("ok"), F.array_join(F.slice(toks, 1, F.greatest(F.size(back) - used, F.lit(0))), "_").alias("name"),
+        (end["parts"] > 0).alias("has_part"),
+        F.coalesce(F.substring(F.get(numbered, F.lit(0)), 5, 1000).try_cast("int"), F.lit(0)).alias("part"),
         F.when(stamp.rlike(r"^\d+$"), stamp.cast("double")).otherwise(F.lit(-1.0)).alias("time")))
 
 
