@@ -26,25 +26,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayloom.llm.common import as_bytes, documents, stored, words
+from wayloom.llm.common import as_bytes, documents, stored
 from wayloom.llm.components import components
 
-_MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+_G = np.random.default_rng(23)
+_BYTE = _G.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MULT = _G.integers(0, 2**63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASE = 0x9E3779B97F4A7C15
+_BLANK = np.zeros(256, bool)
+_BLANK[[32, 9, 10, 11, 12, 13]] = True
+_POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_HASHES = _Hashes()
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64."""
+    if len(_POWERS[0]) < n:
+        for k, b in enumerate((_BASE, pow(_BASE, -1, 2**64))):
+            x = np.full(n, b, np.uint64)
+            x[0] = 1
+            _POWERS[k] = np.multiply.accumulate(x)
+    return _POWERS
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -52,18 +56,49 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(text: bytes | None, n: int = 5) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
-    w = words(text)
-    if not w:
-        return np.zeros(0, np.uint64)
-    h = np.array([_HASHES[x] for x in w], np.uint64)
-    if len(h) < n:
-        return mixed((h * _MULT[: len(h)]).sum(keepdims=True, dtype=np.uint64) + np.uint64(len(h)))
-    s = h[: len(h) - n + 1] * _MULT[0]
-    for k in range(1, n):
-        s = s + h[k: len(h) - n + 1 + k] * _MULT[k]
-    return np.unique(mixed(s))
+def shingles(texts: list[bytes], n: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of each text, end to end, and where each text's begin (one more than texts)."""
+    joined = b"\n".join(texts).lower() + b"\n"
+    x = np.frombuffer(joined, np.uint8)
+    blank = _BLANK[x]
+    edge = np.flatnonzero(np.diff(np.r_[True, blank].view(np.int8)))
+    first, last = edge[::2], edge[1::2]
+    up, down = _powers(len(x) + 1)
+    p = np.zeros(len(x) + 1, np.uint64)
+    np.cumsum(_BYTE[x] * up[: len(x)], out=p[1:])
+    h = mixed((p[last] - p[first]) * down[first] + (last - first).astype(np.uint64))
+    size = np.array([len(t) + 1 for t in texts], np.int64)
+    cuts = np.searchsorted(first, np.r_[0, np.cumsum(size)])  # words of each text
+    count = np.diff(cuts)
+    total = len(h)
+    s = np.zeros(total, np.uint64)
+    for k in range(min(n, total)):
+        s[: total - k] += h[k:] * _MULT[k]
+    text = np.repeat(np.arange(len(texts)), count)
+    left = cuts[1:][text] - np.arange(total)  # words from here to the end of the text
+    whole = left >= n
+    for t in np.flatnonzero((count > 0) & (count < n)):  # the whole sequence is the only shingle
+        a = cuts[t]
+        s[a] = (h[a: a + count[t]] * _MULT[: count[t]]).sum(dtype=np.uint64) + np.uint64(count[t])
+        whole[a] = True
+    s, text = mixed(s[whole]), text[whole]
+    begin = np.searchsorted(text, np.arange(len(texts) + 1))
+    for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True):
+        s[a:b].sort()
+    keep = np.ones(len(s), bool)
+    keep[1:] = (s[1:] != s[:-1]) | (text[1:] != text[:-1])
+    s, text = s[keep], text[keep]
+    return s, np.searchsorted(text, np.arange(len(texts) + 1))
+
+
+def in_parts(texts: list, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Stretches of about ``most`` bytes; a longer text is a stretch of its own."""
+    begin, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t) if t else 0
+        if size >= most or i == len(texts) - 1:
+            yield begin, i + 1
+            begin, size = i + 1, 0
 
 
 def least_overlap(n: int | np.ndarray, percent: int):
@@ -78,28 +113,29 @@ def _measured(docs: DataFrame, cells: int, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(cells, np.int64)
-        names = ["doc_id", "id", "n", "chunk", "counts"]
+        names = ["doc_id", "id", "n", "sign", "chunk", "counts"]
         typ = None
         for b in batches:
             typ = b.column(0).type
             n = np.zeros(b.num_rows, np.int64)
-            for i, t in enumerate(as_bytes(b.column(2))):
-                s = shingles(t)
-                n[i] = len(s)
-                counts += np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells) if len(s) > cells else 0
-                if 0 < len(s) <= cells:
-                    np.add.at(counts, (s & np.uint64(cells - 1)).astype(np.int64), 1)
+            texts, signs = [t or b"" for t in as_bytes(b.column(2))], []
+            for lo, hi in in_parts(texts):
+                h, begin = shingles(texts[lo:hi])
+                n[lo:hi] = np.diff(begin)
+                signs += [signature(h[x:y]) for x, y in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
+                np.add.at(counts, (h & np.uint64(cells - 1)).astype(np.int64), 1)
             none = pa.nulls(b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), none.cast(pa.int32()), none.cast(pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(signs, pa.binary()),
+                                               none.cast(pa.int32()), none.cast(pa.binary())], names=names)
         if typ is not None:
             at = [c for c in range(0, cells, chunk) if counts[c: c + chunk].any()]
             m = pa.nulls(len(at))
             yield pa.RecordBatch.from_arrays(
-                [m.cast(typ), m.cast(pa.int64()), m.cast(pa.int64()), pa.array([c // chunk for c in at], pa.int32()),
+                [m.cast(typ), m.cast(pa.int64()), m.cast(pa.int64()), m.cast(pa.binary()), pa.array([c // chunk for c in at], pa.int32()),
                  pa.array([np.minimum(counts[c: c + chunk], 2**31 - 1).astype("<i4").tobytes() for c in at], pa.binary())], names=names)
 
     return docs.select(key, F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("id"), text).mapInArrow(
-        run, f"doc_id {kind}, id long, n long, chunk int, counts binary")
+        run, f"doc_id {kind}, id long, n long, sign binary, chunk int, counts binary")
 
 
 def frequent_cells(parts: DataFrame, cells: int, factor: float, extra: int) -> np.ndarray:
@@ -125,11 +161,31 @@ class Order:
     def __init__(self, bits: np.ndarray, cells: int):
         self.hot, self.cells = np.unpackbits(bits)[:cells].astype(bool), cells
 
-    def prefix(self, s: np.ndarray, percent: int) -> np.ndarray:
+    def ranked(self, s: np.ndarray) -> np.ndarray:
+        """Numbers to sort shingles by; they tell shingles apart as the hashes do, but for one bit."""
         late = self.hot[(s & np.uint64(self.cells - 1)).astype(np.int64)]
-        m = mixed(s)
-        order = np.lexsort((m, late))
-        return m[order[: len(s) - least_overlap(len(s), percent) + 1]]
+        return (mixed(s) >> np.uint64(1)) | (late.astype(np.uint64) << np.uint64(63))
+
+
+SIGNATURE = 1024
+
+
+def signature(s: np.ndarray) -> bytes:
+    """Bits set by the shingles; at least two bits for each, so that long sets are told apart as well."""
+    m = max(SIGNATURE, 1 << (2 * len(s) - 1).bit_length()) if len(s) else SIGNATURE
+    bits = np.zeros(m, bool)
+    bits[((s >> np.uint64(32)) & np.uint64(m - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def most_common(na: int, sa: bytes, nb: int, sb: bytes) -> int:
+    """Upper bound of what two sets share: a bit of one alone stands for at least one shingle of its own."""
+    a, b = np.frombuffer(sa, np.uint8), np.frombuffer(sb, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] | a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] | b[len(b) // 2:]
+    return min(na - int(np.bitwise_count(a & ~b).sum()), nb - int(np.bitwise_count(b & ~a).sum()))
 
 
 ENTRY = np.dtype([("h", "<u4"), ("set", "<u4"), ("pos", "u1")])
@@ -146,7 +202,7 @@ def _indexed(docs: DataFrame, bits: np.ndarray, cells: int, percent: int, parts:
         size = 0
 
         def pack():
-            ids = np.array([(i, n, int(t[0] >> np.uint64(32))) for i, n, t in held], SET)
+            ids = np.array([(i, n, int(t[0] >> np.uint64(31)) & 0xFFFFFFFF) for i, n, t in held], SET)
             tok = np.concatenate([t for _, _, t in held])
             own = np.repeat(np.arange(len(held)), [len(t) for _, _, t in held])
             pos = np.concatenate([np.minimum(np.arange(len(t)), 255) for _, _, t in held])
@@ -159,20 +215,25 @@ def _indexed(docs: DataFrame, bits: np.ndarray, cells: int, percent: int, parts:
                 if len(at):
                     sets, local = np.unique(own[at], return_inverse=True)
                     e = np.empty(len(at), ENTRY)
-                    e["h"], e["set"], e["pos"] = (tok[at] >> np.uint64(32)).astype(np.uint32), local, pos[at]
+                    e["h"], e["set"], e["pos"] = (tok[at] >> np.uint64(16)).astype(np.uint32), local, pos[at]
                     rows.append((p, ids[sets].tobytes(), e.tobytes()))
             p, s, e = zip(*rows, strict=True)
             return pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(s, pa.binary()), pa.array(e, pa.binary())], names=["part", "sets", "entries"])
 
         for b in batches:
+            fresh = []
             for i, t in zip(b.column(0).to_pylist(), as_bytes(b.column(1)), strict=True):
-                if i in seen or not t:
-                    continue
-                seen.add(i)
-                s = shingles(t)
-                if len(s):
-                    held.append((i, len(s), order.prefix(s, percent)))
-                    size += len(held[-1][2])
+                if t and i not in seen:
+                    seen.add(i)
+                    fresh.append((i, t))
+            for lo, hi in in_parts([t for _, t in fresh]):
+                h, begin = shingles([t for _, t in fresh[lo:hi]])
+                r = order.ranked(h)
+                for k, (x, y) in enumerate(zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)):
+                    if x < y:
+                        r[x:y].sort()
+                        held.append((fresh[lo + k][0], y - x, r[x: x + (y - x) - least_overlap(y - x, percent) + 1].copy()))
+                        size += len(held[-1][2])
                 if size >= flush:
                     yield pack()
                     held, size = [], 0
@@ -260,7 +321,7 @@ def _answers(index: DataFrame, percent: int, short: int, parts: int) -> DataFram
                 at = np.concatenate(long_at)
                 yield _rows(p, h[at].astype(np.int64), ids[own[at]], None, n[own[at]], pos[at])
 
-    packed = index.repartition(max(parts // 4, 1), "part")
+    packed = index.repartition(parts, "part")
     return packed.mapInArrow(run, "part int, h long, a long, b long, n long, pos long")
 
 
@@ -270,6 +331,18 @@ def _rows(part, h, a, b, n, pos=None) -> pa.RecordBatch:
                                       names=["part", "h", "a", "b", "n", "pos"])
 
 
+def _possible(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """Pairs that bit signatures do not rule out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = [most_common(na, sa, nb, sb) * (100 + percent) >= percent * (na + nb)
+                    for na, sa, nb, sb in zip(*(b.column(k).to_pylist() for k in (2, 3, 4, 5)), strict=True)]
+            yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    met = pairs.join(signs.selectExpr("id as a", "n as na", "sign as sa"), "a").join(signs.selectExpr("id as b", "n as nb", "sign as sb"), "b")
+    return met.select("a", "b", "na", "sa", "nb", "sb").mapInArrow(run, "a long, b long")
+
+
 def overlaps(pairs: DataFrame, texts: DataFrame, group: int = 256) -> DataFrame:
     """a, b, na, nb, both of each pair, from the texts; a pivot with many partners is dealt over salted groups."""
     degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / group).alias("salts"))
@@ -282,13 +355,17 @@ def overlaps(pairs: DataFrame, texts: DataFrame, group: int = 256) -> DataFrame:
         here, own = None, None
         for batch in batches:
             out = []
-            a, salt, b, text = (batch.column(k) for k in range(4))
-            for x, s, y, t in zip(a.to_pylist(), salt.to_pylist(), b.to_pylist(), as_bytes(text), strict=True):
-                if y is None:
-                    here, own = (x, s), shingles(t)
-                elif here == (x, s):
-                    z = shingles(t)
-                    out.append((x, y, len(own), len(z), len(np.intersect1d(own, z, assume_unique=True))))
+            a, salt, b = (batch.column(k).to_pylist() for k in range(3))
+            texts = as_bytes(batch.column(3))
+            for lo, hi in in_parts(texts):
+                h, begin = shingles(texts[lo:hi])
+                for k in range(lo, hi):
+                    z = h[begin[k - lo]: begin[k - lo + 1]]
+                    if b[k] is None:
+                        here, own = (a[k], salt[k]), z.copy()
+                    elif here == (a[k], salt[k]):
+                        at = np.minimum(np.searchsorted(own, z), len(own) - 1)
+                        out.append((a[k], b[k], len(own), len(z), int((own[at] == z).sum())))
             cols = list(zip(*out, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b", "na", "nb", "both"])
 
@@ -300,7 +377,7 @@ def _linked(percent: int) -> Column:
     return F.col("both") * 100 >= percent * (F.col("na") + F.col("nb") - F.col("both"))
 
 
-def _revisited(long: DataFrame, roots: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _revisited(long: DataFrame, roots: DataFrame, signs: DataFrame, docs: DataFrame, percent: int, text: str) -> DataFrame | None:
     """Pairs (a, b) of long lists in different components that no known answer decides."""
     e = long.join(roots, F.col("a") == F.col("id"), "left").select(
         "part", "h", F.col("a").alias("id"), "n", "pos", F.coalesce("root", "a").alias("root"))
@@ -313,45 +390,56 @@ def _revisited(long: DataFrame, roots: DataFrame, texts: DataFrame, percent: int
     pairs = x.join(y, (F.col("x.part") == F.col("y.part")) & (F.col("x.h") == F.col("y.h")) & (F.col("x.id") < F.col("y.id"))
                    & (F.col("x.root") != F.col("y.root")) & (F.least("x.n", "y.n") * 100 >= percent * F.greatest("x.n", "y.n"))
                    & (rest * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n"))))
-    pairs = stored(pairs.selectExpr("x.id as a", "y.id as b", "x.root as p", "y.root as q").distinct())
+    pairs = pairs.selectExpr("x.id as a", "y.id as b", "x.root as p", "y.root as q").distinct()
+    pairs = stored(pairs.join(_possible(pairs.select("a", "b").distinct(), signs, percent), ["a", "b"]))
+    if pairs.isEmpty():
+        return None
+    e = pairs.selectExpr("p as root", "a as id").union(pairs.selectExpr("q", "b"))
     wanted = pairs.selectExpr("p as a", "q as b").union(e.selectExpr("root as a", "id as b").where("a != b"))
     far = 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
-    known = stored(overlaps(wanted.distinct(), texts).select("a", "b", far.alias("d")))
+    wanted = stored(wanted.distinct())
+    known = stored(overlaps(wanted, _texts_of(docs, wanted, text)).select("a", "b", far.alias("d")))
     own = known.selectExpr("a as r", "b as i", "d as away")
     near = pairs.join(known.selectExpr("a as p", "b as q", "d"), ["p", "q"], "left")
     for side, root in (("a", "p"), ("b", "q")):
         k = own.selectExpr(f"r as {root}", f"i as {side}", f"away as away_{side}")
         near = near.join(k, [root, side], "left")
     slack = F.col("d") - F.coalesce("away_a", F.lit(0.0)) - F.coalesce("away_b", F.lit(0.0))
-    return near.where(F.coalesce(slack, F.lit(0.0)) <= 1 - percent / 100 + 1e-9).select("a", "b").distinct()
+    return stored(near.where(F.coalesce(slack, F.lit(0.0)) <= 1 - percent / 100 + 1e-9).select("a", "b").distinct())
+
+
+def _texts_of(docs: DataFrame, pairs: DataFrame, text: str) -> DataFrame:
+    """Each text of a pair once, by set id."""
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    own = docs.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("id"), F.col(text).alias("text"))
+    return stored(own.groupBy("id").agg(F.first("text").alias("text")).join(ids, "id"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, short: int = 48, cells: int = 1 << 20, hot_factor: float = 2.0,
                     hot_extra: int = 256, flush: int = 1 << 21, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, id (set), n_shingles, component_id of every document."""
+    """doc_id, id (set), root (smallest set id of the component), n_shingles, component_id of every document."""
     spark = docs.sparkSession
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = stored(_measured(docs, cells, key, text))
+    signs = rows.where("chunk is null").select("id", "n", "sign").dropDuplicates(["id"])
     bits = frequent_cells(rows, cells, hot_factor, hot_extra)
     found = stored(_answers(_indexed(docs, bits, cells, percent, parts, flush, text), percent, short, parts))
-    pairs = stored(found.where("b is not null").select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "a", "b")
-                   .groupBy("x", "y").agg(F.min(F.struct("a", "b")).alias("p")).select("p.*"))
+    pairs = found.where("b is not null").select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), "a", "b").groupBy(
+        "x", "y").agg(F.min(F.struct("a", "b")).alias("p")).select("p.*")
+    pairs = stored(_possible(pairs, signs, percent))
     long = found.where("b is null")
-    ids = pairs.select("a").union(pairs.select("b")).union(long.select("a")).distinct().select(F.col("a").alias("id"))
-    texts = docs.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("id"), F.col(text).alias("text"))
-    texts = stored(texts.groupBy("id").agg(F.first("text").alias("text")).join(ids, "id"))
-    links = stored(overlaps(pairs, texts).where(_linked(percent)).select("a", "b"))
+    links = stored(overlaps(pairs, _texts_of(docs, pairs, text)).where(_linked(percent)).select("a", "b"))
     roots = stored(components(links))
-    more = _revisited(long, roots, texts, percent) if not long.isEmpty() else None
+    more = _revisited(long, roots, signs, docs, percent, text) if not long.isEmpty() else None
     if more is not None:
-        extra = overlaps(more, texts).where(_linked(percent)).select("a", "b")
+        extra = overlaps(more, _texts_of(docs, more, text)).where(_linked(percent)).select("a", "b")
         roots = stored(components(links.union(extra)))
     d = rows.where("chunk is null").select("doc_id", "id", F.col("n").alias("n_shingles"))
     own = d.where("n_shingles > 0").groupBy("id").agg(F.min("doc_id").alias("least")).join(roots, "id", "left").select(
         "id", "least", F.coalesce("root", "id").alias("root"))
     best = own.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = own.join(best, "root").select("id", "component_id")
-    return d.join(of, "id", "left").select("doc_id", "id", "n_shingles", F.when(
+    of = own.join(best, "root").select("id", "root", "component_id")
+    return d.join(of, "id", "left").select("doc_id", "id", "root", "n_shingles", F.when(
         F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
