@@ -1,12 +1,13 @@
 """The queries of this package by name, and SQL where SQL can say the same."""
 
-from wayloom.llm import decontaminate, jaccard, lang_id, licenses, link_trust, mixing, pii, suffix_dedup, topk
+from wayloom.llm import decontaminate, jaccard, lang_id, licenses, link_trust, lm_score, mixing, pii, suffix_dedup, topk
 
 QUERIES = {
     "op1_skip_chain": pii.op1_skip_chain,
     "op2_cgk_windows": decontaminate.op2_cgk_windows,
     "op3_link_trust": link_trust.op3_link_trust,
     "op4_suffix_runs": suffix_dedup.op4_suffix_runs,
+    "op5_attention_score": lm_score.op5_attention_score,
     "op6_shingle_join": jaccard.op6_shingle_join,
     "op7_norm_buckets": topk.op7_norm_buckets,
     "op8_byte_cnn": lang_id.op8_byte_cnn,
