@@ -194,12 +194,14 @@ def xyz_to_blh(x, y, z, steps: int = 5) -> Column:
 
 def gps_to_pose(df: DataFrame, origin: DataFrame, antenna: tuple[float, float, float],
                 pose_col: str = "pose") -> DataFrame:
-    """GNSS rows to poses relative to a map origin (``origin`` is one row: x, y, z)."""
+    """GNSS rows to poses relative to a map origin (``origin`` is one row: x, y, z; several are an error)."""
     dx, dy, da = antenna
-    one = origin.limit(1).select(F.col("x").alias("_ox"), F.col("y").alias("_oy"), F.col("z").alias("_oz"))
+    one = origin.agg(F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(f"_o{c}") for c in "xyz"]).where("_n > 0")
+    one = one.select(F.when(F.col("_n") == 1, F.col("_ox")).otherwise(
+        F.raise_error(F.lit("more than one origin"))).alias("_ox"), "_oy", "_oz")
     d = df.withColumn("_ll", shift_lonlat("lon", "lat", "height", "heading", dx, dy, da))
     d = d.withColumn("_utm", to_utm(F.col("_ll.lon"), F.col("_ll.lat")))
-    d = d.crossJoin(F.broadcast(one))  # a single row, limited above
+    d = d.crossJoin(F.broadcast(one))  # a single row, folded above
     yaw = heading_to_angle(F.col("heading") + da) * RAD
     d = d.withColumn(pose_col, P.from_yaw(F.col("_utm.x") - F.col("_ox"), F.col("_utm.y") - F.col("_oy"),
                                           F.col("height") - F.col("_oz"), yaw))

@@ -115,11 +115,11 @@ def apply_calibration(points: DataFrame, mapping: DataFrame, coef: float = 1.0,
                       max_range: float = 60.0) -> DataFrame:
     """Corrected ``intensity_vi``: mapped reading within range, times the coefficient, capped.
 
-    The mapping has at most 256 × 100 rows by type, so it is broadcast.
+    The optimiser broadcasts the mapping if its size allows.
     """
     m = mapping.select(F.col("b").alias("ring"), F.col("a").alias("_a"), "best")
     near_ = (F.col("range") < max_range) & (F.col("intensity") < LEVELS)
-    d = points.withColumn("_a", F.when(near_, F.col("intensity"))).join(F.broadcast(m), ["ring", "_a"], "left")
+    d = points.withColumn("_a", F.when(near_, F.col("intensity"))).join(m, ["ring", "_a"], "left")
     vi = F.coalesce("best", "intensity_vi" if "intensity_vi" in points.columns else "intensity")
     vi = F.least((vi * coef).cast("double").cast("int"), F.lit(cap))
     return d.drop("intensity_vi").withColumn("intensity_vi", vi).drop("_a", "best")

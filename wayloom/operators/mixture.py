@@ -73,40 +73,51 @@ def kmeans_value(points: DataFrame, size: float, value: str, min_n: int = 7, ite
                     F.greatest(low, F.coalesce(F.col("_d2") / F.nullif(F.col("c2"), F.lit(0)), F.lit(0.0))).alias("s2"))
 
 
-def em_value(points: DataFrame, size: float, value: str, min_n: int = 6, iters: int = 20,
-             by: Sequence[str] = (), floor: float = 1e-4) -> DataFrame:
-    """Two-mode expectation-maximisation of one value per cell, with the last log-likelihood."""
+def em_value(points: DataFrame, size: float, value: str, min_n: int = 6, iters: int = 300,
+             by: Sequence[str] = (), floor: float = 1e-4, tol: float = 0.1) -> DataFrame:
+    """Two-mode expectation-maximisation of one value per cell, with the last log-likelihood.
+
+    A cell stops when its log-likelihood changes by less than ``tol`` and leaves
+    the later rounds; ``converged`` is false for cells that reach ``iters`` first.
+    """
     d, keys = _readings(points, size, value, min_n, by)
     st = d.groupBy(*keys).agg(F.sum("c").alias("n"), F.min("v").alias("u1"), F.max("v").alias("u2"),
                               F.sum(F.col("c") * F.col("v")).alias("_a"), F.sum(F.col("c") * F.col("v") * F.col("v")).alias("_b"))
     var = F.greatest(F.lit(floor), F.col("_b") / F.col("n") - (F.col("_a") / F.col("n")) * (F.col("_a") / F.col("n")))
     half = F.lit(0.5)
-    m = st.select(*keys, "n", half.alias("w1"), "u1", var.alias("s1"), half.alias("w2"), "u2", var.alias("s2"))
+    m = st.select(*keys, "n", half.alias("w1"), "u1", var.alias("s1"), half.alias("w2"), "u2", var.alias("s2"),
+                  F.lit(None).cast("double").alias("loglik"))
 
     def logd(k):
         u, s = F.col(f"u{k}"), F.col(f"s{k}")
         return F.log(F.greatest(F.col(f"w{k}"), F.lit(1e-12))) - 0.5 * F.log(2 * math.pi * s) - (F.col("v") - u) * (F.col("v") - u) / (2 * s)
 
-    for _ in range(iters):
+    done = None
+    for i in range(iters):
         j = d.join(m, keys).withColumn("_l1", logd(1)).withColumn("_l2", logd(2))
         j = j.withColumn("_m", F.greatest("_l1", "_l2"))
         j = j.withColumn("_z", F.col("_m") + F.log(F.exp(F.col("_l1") - F.col("_m")) + F.exp(F.col("_l2") - F.col("_m"))))
         j = j.withColumn("_r1", F.col("c") * F.exp(F.col("_l1") - F.col("_z"))).withColumn("_r2", F.col("c") - F.col("_r1"))
         dev = [(F.col("v") - F.col(f"u{k}")) for k in (1, 2)]
         g = j.groupBy(*keys).agg(
-            F.first("n").alias("n"), F.sum(F.col("c") * F.col("_z")).alias("loglik"),
+            F.first("n").alias("n"), F.first("loglik").alias("_before"), F.sum(F.col("c") * F.col("_z")).alias("loglik"),
             *[F.first(f"u{k}").alias(f"_o{k}") for k in (1, 2)],
             *[F.sum(f"_r{k}").alias(f"_n{k}") for k in (1, 2)],
             *[F.sum(F.col(f"_r{k}") * dev[k - 1]).alias(f"_a{k}") for k in (1, 2)],
             *[F.sum(F.col(f"_r{k}") * dev[k - 1] * dev[k - 1]).alias(f"_b{k}") for k in (1, 2)])
-        cols = [*keys, "n", "loglik"]
+        cols = [*keys, "n", "loglik", F.coalesce(F.abs(F.col("loglik") - F.col("_before")) < tol, F.lit(False)).alias("converged")]
         for k in (1, 2):
             w = F.greatest(F.col(f"_n{k}"), F.lit(1e-9))
             sh = F.col(f"_a{k}") / w
             cols += [(F.col(f"_n{k}") / F.col("n")).alias(f"w{k}"), (F.col(f"_o{k}") + sh).alias(f"u{k}"),
                      F.greatest(F.lit(floor), F.col(f"_b{k}") / w - sh * sh).alias(f"s{k}")]
-        m = cut(g.select(*cols))
-    return m
+        g = cut(g.select(*cols))
+        ready = g if i == iters - 1 else g.filter("converged")
+        done = ready if done is None else done.unionByName(ready)
+        m = g.filter("not converged").drop("converged")
+        if m.isEmpty():
+            break
+    return done
 
 
 def _stored(m: DataFrame, value: str, keys: Sequence[str], tag: str, root: bool) -> DataFrame:
@@ -125,7 +136,7 @@ def _both(fit, points, size, by, root, **kw) -> DataFrame:
     return a.join(r.drop("n"), keys)
 
 
-def gmm_em(points: DataFrame, size: float, min_n: int = 6, iters: int = 20, by: Sequence[str] = ()) -> DataFrame:
+def gmm_em(points: DataFrame, size: float, min_n: int = 6, iters: int = 300, by: Sequence[str] = ()) -> DataFrame:
     """Stored two-mode cells of altitude and intensity, fitted by expectation-maximisation."""
     return _both(em_value, points, size, by, True, min_n=min_n, iters=iters)
 

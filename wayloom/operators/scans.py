@@ -263,7 +263,9 @@ def _predict_correct(state: np.ndarray, rows: pd.DataFrame, gyro_noise: float, a
     out = np.empty((len(rows), 8))
     vals = rows[["t", "wx", "wy", "wz", "ax", "ay", "az", "v"]].to_numpy(dtype=float)
     for i, (t, wx, wy, wz, ax, ay, az, speed) in enumerate(vals):
-        dt = min(max(t - s[53], 0.0), 0.05) if s[53] > 0 else 0.0
+        dt = t - s[53] if s[53] > 0 else 0.0
+        if s[53] > 0 and (dt < 1e-5 or dt > 0.05):  # fixed values: the rule of fix_dt
+            dt = 0.01
         rot = _matrix(q)
         if not np.isnan(speed):
             wheel[:] = rot @ np.array([speed, 0.0, 0.0])

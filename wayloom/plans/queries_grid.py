@@ -80,7 +80,7 @@ def scan_logp(spark, sf):
 
 @query("gmm_em_a7")
 def gmm_em(spark, sf):
-    return mixture.gmm_em(V.points(spark, sf), 2.0, min_n=6, iters=6)
+    return mixture.gmm_em(V.points(spark, sf), 2.0, min_n=6)
 
 
 @query("gmm_kmeans_a8")

@@ -351,11 +351,11 @@ def status_counts(spark, sf):
     return R.status_counts(V.table(spark, sf, "orders").withColumnRenamed("o_orderstatus", "status"))
 
 
-@query("poly_fit_a34")
+@query("poly_fit_a34", POINTS, "SELECT ring, 40e0 AS at_10 FROM points GROUP BY ring")
 def poly_fit(spark, sf):
     d = V.points(spark, sf)
-    fit = R.poly_fit(d.withColumn("f", 0.5 * F.col("x") * F.col("x") - F.col("x") + F.col("y") / 100), "x", "f", 3, ["ring"])
-    return fit.select("ring", R.poly_eval(F.col("coef"), F.col("shift"), F.col("scale"), F.lit(10.0)).alias("at_10"))
+    fit = R.poly_fit(d.withColumn("f", 0.5 * F.col("x") * F.col("x") - F.col("x")), "x", "f", 3, ["ring"])
+    return fit.select("ring", R.poly_eval(F.col("coef"), F.col("shift"), F.col("scale"), F.lit(10.0)).alias("at_10")).withColumn("at_10", F.round("at_10", 6))
 
 
 @query("shift_height_a36", POSES, """

@@ -193,7 +193,7 @@ def admission_report(files: DataFrame, rules: DataFrame, by: Sequence[str] = ())
     n = files.groupBy(*by, "class").agg(F.count(F.lit(1)).alias("found"))
     if by:
         sites = files.select(*by).distinct()
-        rules = sites.crossJoin(F.broadcast(rules))  # the rule table is a fixed short list
+        rules = sites.crossJoin(rules)  # every site has to meet every rule
     d = rules.join(n, [*by, "class"], "left").withColumn("found", F.coalesce("found", F.lit(0)))
     return d.withColumn("ok", F.col("found") >= F.col("required"))
 
