@@ -86,27 +86,42 @@ def merge_short(segs: DataFrame, by: Sequence[str] = TRAJ) -> DataFrame:
     return cut(tidy(d.withColumn("merged", new)).drop("_p1", "_p2", "_pd", "_n1", "_at"))
 
 
+HEAD_ROWS, HEAD_RISE, TAIL_RISE = 5, 10, 5  # fixed values of the second merge
+
+
 def merge_between_long(segs: DataFrame, by: Sequence[str] = TRAJ, long: float = SHORT_END) -> DataFrame:
     """Segments between two long ones take the lower of their buckets.
 
-    Segments before the first or after the last long one take the lowest bucket
-    found on that side.  Keys without a long segment keep their buckets.
+    Before the first long segment: its bucket if they end within the first five
+    rows; else the lowest bucket of a segment over 0.5 long that rises by more
+    than 10 from the one before, else the lowest bucket; the very first segment is
+    left out of both.  After the last long segment likewise, with a rise of more
+    than 5 and no exception for few rows.  Without a candidate, and for keys
+    without a long segment, buckets stay.
     """
     d = segs.withColumn("_at", F.col("run_id").cast("double"))
     is_long = F.col("closed") & (F.col("dist") > long)
     ahead = blocked(d.withColumn("_neg", -F.col("_at")), by, ["_neg"], 100_000.0)
     ahead = tidy(carried(ahead, by, {"_next": F.when(is_long, F.col("bucket"))})).drop("_neg")
     back = blocked(cut(ahead), by, ["_at"], 100_000.0)
+    back = near(back, by, 1, 0, {"_before": lambda w: F.lag("bucket", 1).over(w)})
     d = cut(tidy(carried(back, by, {"_prev": F.when(is_long, F.col("bucket"))})))
     head = F.col("_prev").isNull() & F.col("_next").isNotNull()
     tail = F.col("_next").isNull() & F.col("_prev").isNotNull()
-    ends = d.groupBy(*by).agg(F.min(F.when(head & F.col("closed"), F.col("bucket"))).alias("_head"),
-                              F.min(F.when(tail & F.col("closed"), F.col("bucket"))).alias("_tail"))
+    rise = F.col("bucket") - F.col("_before")
+    inner = head & F.col("_before").isNotNull()
+    last = tail & F.col("closed") & ~is_long
+    ends = d.groupBy(*by).agg(
+        F.when(F.max(F.when(head, F.col("last_rn"))) <= HEAD_ROWS, F.min(F.when(head, F.col("_next")))).otherwise(F.coalesce(
+            F.min(F.when(inner & (F.col("dist") > 0.5) & (rise > HEAD_RISE), F.col("bucket"))),
+            F.min(F.when(inner, F.col("bucket"))))).alias("_head"),
+        F.coalesce(F.min(F.when(last & (F.col("dist") > 0.5) & (rise > TAIL_RISE), F.col("bucket"))),
+                   F.min(F.when(last, F.col("bucket")))).alias("_tail"))
     d = d.join(ends, list(by))
     new = (F.when(is_long, F.col("bucket")).when(head, F.coalesce("_head", "bucket"))
            .when(tail, F.coalesce("_tail", "bucket"))
            .when(F.col("_prev").isNotNull(), F.least("_prev", "_next")).otherwise(F.col("bucket")))
-    return d.withColumn("merged", new).drop("_at", "_next", "_prev", "_head", "_tail")
+    return d.withColumn("merged", new).drop("_at", "_next", "_prev", "_before", "_head", "_tail")
 
 
 def cap_to_dominant(segs: DataFrame, by: Sequence[str] = TRAJ, bucket: str = "bucket") -> DataFrame:

@@ -89,12 +89,16 @@ def merge_short(spark, sf):
 
 
 @query("merge_between_long_w6", SCORES, BUCKET, """
-SELECT trajectory_id, run_id, bucket, CASE WHEN lng THEN bucket WHEN prv IS NULL AND nxt IS NOT NULL THEN min(CASE WHEN prv IS NULL AND nxt IS NOT NULL AND closed AND NOT lng THEN bucket END) OVER p
-  WHEN nxt IS NULL AND prv IS NOT NULL THEN coalesce(min(CASE WHEN nxt IS NULL AND prv IS NOT NULL AND closed AND NOT lng THEN bucket END) OVER p, bucket)
+SELECT trajectory_id, run_id, bucket, CASE WHEN lng THEN bucket
+  WHEN head THEN coalesce(CASE WHEN max(last_rn) FILTER (head) OVER p <= 5 THEN min(nxt) FILTER (head) OVER p
+    ELSE coalesce(min(bucket) FILTER (head AND before IS NOT NULL AND dist > 0.5 AND bucket - before > 10) OVER p, min(bucket) FILTER (head AND before IS NOT NULL) OVER p) END, bucket)
+  WHEN tail THEN coalesce(min(bucket) FILTER (tail AND closed AND NOT lng AND dist > 0.5 AND bucket - before > 5) OVER p, min(bucket) FILTER (tail AND closed AND NOT lng) OVER p, bucket)
   WHEN prv IS NOT NULL THEN least(prv, nxt) ELSE bucket END AS merged
-FROM (SELECT *, last_value(CASE WHEN lng THEN bucket END IGNORE NULLS) OVER (PARTITION BY trajectory_id ORDER BY run_id ROWS UNBOUNDED PRECEDING) AS prv,
+FROM (SELECT *, prv IS NULL AND nxt IS NOT NULL AS head, nxt IS NULL AND prv IS NOT NULL AS tail FROM (
+   SELECT *, lag(bucket) OVER (PARTITION BY trajectory_id ORDER BY run_id) AS before,
+   last_value(CASE WHEN lng THEN bucket END IGNORE NULLS) OVER (PARTITION BY trajectory_id ORDER BY run_id ROWS UNBOUNDED PRECEDING) AS prv,
    first_value(CASE WHEN lng THEN bucket END IGNORE NULLS) OVER (PARTITION BY trajectory_id ORDER BY run_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nxt
-   FROM (SELECT *, closed AND dist > 3 AS lng FROM seg)) WINDOW p AS (PARTITION BY trajectory_id)""")
+   FROM (SELECT *, closed AND dist > 3 AS lng FROM seg))) WINDOW p AS (PARTITION BY trajectory_id)""")
 def merge_between_long(spark, sf):
     return SC.merge_between_long(_segs(spark, sf), BY, 3.0).select("trajectory_id", "run_id", "bucket", "merged")
 
