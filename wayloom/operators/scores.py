@@ -148,10 +148,21 @@ def spatial_min(df: DataFrame, r: float = 15.0, bucket: str = "bucket", by: Sequ
 
 def score_buckets(df: DataFrame, by: Sequence[str] = TRAJ, order: Sequence[str] = ("t",), bucket: str = "bucket",
                   width: float = SLICE) -> DataFrame:
-    """Rows with the final bucket after merging short segments and capping."""
+    """Rows with the final bucket after merging short segments and capping.
+
+    The cap looks at buckets before merging: a segment that was above the longest
+    one takes that one's bucket, others keep what merging gave them.  The open tail
+    goes with the last closed segment.
+    """
     rows = cut(bucket_runs(df, by, order, bucket, width))
-    segs = cap_to_dominant(merge_short(_segments_of(rows, by, bucket), by), by, "merged")
-    out = rows.join(segs.select(*by, "run_id", "capped"), [*by, "run_id"])
+    segs = merge_short(_segments_of(rows, by, bucket), by)
+    closed = F.when(F.col("closed") & (F.col("dist") > 0), F.struct(F.col("dist"), -F.col("run_id")))
+    top = segs.groupBy(*by).agg(F.max_by("bucket", closed).alias("_top"),
+                                F.max_by("bucket", F.when(F.col("closed"), F.col("run_id"))).alias("_last"))
+    d = segs.join(top, list(by))
+    own = F.when(F.col("closed"), F.col("bucket")).otherwise(F.coalesce("_last", "bucket"))
+    d = d.withColumn("capped", F.when(own > F.col("_top"), F.col("_top")).otherwise(F.col("merged")))
+    out = rows.join(d.select(*by, "run_id", "capped"), [*by, "run_id"])
     return tidy(out).drop("run_id", "step")
 
 

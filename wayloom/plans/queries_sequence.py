@@ -125,8 +125,9 @@ def suggest_threshold(spark, sf):
 
 
 @query("score_buckets_w6", SCORES, BUCKET, MERGED, """
-SELECT id, least(m.merged, coalesce(top, m.merged)) AS capped FROM br JOIN mg m USING (trajectory_id, run_id)
-LEFT JOIN (SELECT trajectory_id, arg_max(merged, (dist, -run_id)) AS top FROM mg WHERE closed AND dist > 0 GROUP BY trajectory_id) USING (trajectory_id)""")
+SELECT id, CASE WHEN CASE WHEN m.closed THEN m.bucket ELSE coalesce(final, m.bucket) END > top THEN top ELSE m.merged END AS capped FROM br JOIN (
+  SELECT mg.*, s.closed FROM mg JOIN seg s USING (trajectory_id, run_id)) m USING (trajectory_id, run_id)
+LEFT JOIN (SELECT trajectory_id, arg_max(bucket, (dist, -run_id)) FILTER (closed AND dist > 0) AS top, arg_max(bucket, run_id) FILTER (closed) AS final FROM seg GROUP BY trajectory_id) USING (trajectory_id)""")
 def score_buckets(spark, sf):
     return SC.score_buckets(_buckets(spark, sf), BY, T, width=V.WIDTH).select("id", "capped")
 
