@@ -14,6 +14,7 @@ from wayloom.plans.registry import query
 from wayloom.plans.views import FIXES, POINTS, POSES, SCORES, r6
 from wayloom.sources import clouds, logs
 from wayloom.sources import text_tables as TT
+from wayloom.streaming.streams import shared_folder
 
 BY = ["trajectory_id"]
 
@@ -142,6 +143,14 @@ def split_failed_frames(spark, sf):
     return ok.select("frame_id", F.lit(False).alias("failed")).unionByName(bad.select("frame_id", F.lit(True).alias("failed")))
 
 
+@query("dump_u5", POINTS, "SELECT frame_id, count(*) AS n, round(sum(x), 6) AS sx FROM points GROUP BY 1")
+def dump_frames(spark, sf):
+    """Every frame's points written in bucket folders and read back."""
+    folder = shared_folder(spark) + "/dump"
+    M.dump(V.points(spark, sf), folder, buckets=16)
+    return spark.read.parquet(folder).groupBy("frame_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("x"), 6).alias("sx"))
+
+
 @query("explode_clouds_s14", POINTS, "SELECT frame_id, ring, intensity, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(z) AS sz FROM points GROUP BY ALL".replace("GROUP BY ALL", "GROUP BY 1, 2, 3"))
 def explode_clouds(spark, sf):
     d = clouds.explode_clouds(_blobs(spark, sf))
@@ -324,6 +333,23 @@ def choose_origin(spark, sf):
     return R.choose_origin(b, b.filter("seq < 0"))
 
 
+@query("choose_origin_cases_a40", FIXES, BAGS, f"""
+SELECT 'stored' AS kind, max(trajectory_id) * 1e0 AS x, 2e0 AS y, 3e0 AS z, 50 AS zone, 'stored' AS source FROM bags
+UNION ALL SELECT 'none', {R.NO_FIX_ORIGIN[0]}, {R.NO_FIX_ORIGIN[1]}, {R.NO_FIX_ORIGIN[2]}, {R.NO_FIX_ORIGIN[3]}, 'no fix'
+UNION ALL SELECT 'some', arg_min(trajectory_id * 1e0, trajectory_id) FILTER (quality > -1), 2e0, 3e0, 50, 'first log' FROM bags""")
+def choose_origin_cases(spark, sf):
+    b = _bags(spark, sf).select("name", "quality", F.col("trajectory_id").alias("seq"), F.col("trajectory_id").cast("double").alias("x"),
+                                F.lit(2.0).alias("y"), F.lit(3.0).alias("z"), F.lit(50).alias("zone"))
+    last = b.join(b.agg(F.max("seq").alias("seq")), "seq", "left_semi").select(b.columns)
+    none = b.limit(0)
+    cases = (("stored", b, last), ("none", b.withColumn("quality", F.lit(-1)), none), ("some", b, none))
+    out = None
+    for kind, bags, kept in cases:
+        one = R.choose_origin(bags, kept).withColumn("kind", F.lit(kind))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("checked_ratio_a31", POSES, """
 SELECT trajectory_id, frames, checked, checked / frames AS ratio FROM (SELECT trajectory_id, count(*) AS frames, count(CASE WHEN EXISTS (SELECT 1 FROM events e WHERE e.event_id = p.id AND e.value > 15 AND e.event_type = 'view') THEN 1 END) AS checked
 FROM poses p GROUP BY GROUPING SETS ((trajectory_id), ()))""")
