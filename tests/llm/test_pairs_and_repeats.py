@@ -127,6 +127,25 @@ def test_loser_tree_merges_and_keeps_prefixes():
         assert h == suffix_dedup.lcp(a, b, 0)
 
 
+def test_both_ways_to_resolve_a_gram_agree():
+    g = random.Random(9)
+    common = bytes(g.choice(b"ab") for _ in range(128))
+    for _ in range(30):
+        group, strings = [], set()
+        for _ in range(g.randrange(2, 30)):
+            t = bytearray(common)
+            for _ in range(g.randrange(5)):
+                t[g.choice([*range(30), *range(70, 128)])] = 99
+            left, right = g.randrange(20, 65), g.randrange(33, 65)
+            strings.add((bytes(t[64: 64 + right]).ljust(64, b"\0") + bytes(t[64 - left: 64][::-1]).ljust(64, b"\0"), left, right))
+        for s, left, right in sorted(strings):
+            head = suffix_dedup.lcp(group[-1].s, s, 0) if group else 0
+            group.append(suffix_dedup.Suffix(s, left, right, range(g.randrange(1, 3)), head))
+        a, b = (suffix_dedup.repeated(group, 64, n) for n in (99, 0))
+        full = [{o for x, y in spans for o in range(x, y + 1)} for spans in a]
+        assert full == [{o for x, y in spans for o in range(x, y + 1)} for spans in b]
+
+
 def test_anchors_follow_content():
     g = random.Random(4)
     t = bytes(g.choice(b"abcd") for _ in range(3000))

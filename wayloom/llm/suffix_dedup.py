@@ -256,7 +256,19 @@ class Suffix:
         self.s, self.left, self.right, self.refs, self.head = s, left, right, refs, head
 
 
-def repeated(group: list[Suffix], length: int, pairwise: int = 8) -> list[list[tuple[int, int]]]:
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of whole numbers without overlap, in order."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1] + 1:
+            if b > out[-1][1]:
+                out[-1] = (out[-1][0], b)
+        else:
+            out.append((a, b))
+    return out
+
+
+def repeated(group: list[Suffix], length: int, pairwise: int = 48) -> list[list[tuple[int, int]]]:
     """For every suffix of one gram the intervals of offsets whose window occurs more than once."""
     out: list[list[tuple[int, int]]] = [[(length - g.right, g.left)] if len(g.refs) > 1 else [] for g in group]
     if len(group) == 1:
@@ -273,13 +285,13 @@ def repeated(group: list[Suffix], length: int, pairwise: int = 8) -> list[list[t
                 if span[0] <= span[1]:
                     out[i].append(span)
                     out[j].append(span)
-        return out
+        return [united(spans) for spans in out]
     m = np.frombuffer(b"".join(g.s for g in group), np.uint8).reshape(-1, 2 * length)
     x = np.ascontiguousarray(np.concatenate([m[:, length:][:, ::-1], m[:, :length]], axis=1))
     h = window_hashes(x, length)
     left, right = np.array([g.left for g in group]), np.array([g.right for g in group])
     hit = np.zeros((len(group), length + 1), bool)
-    for o in range(length + 1):
+    for o in range(length - int(right.max()), int(left.max()) + 1):
         at = np.flatnonzero((left >= o) & (right >= length - o))
         if len(at) < 2:
             continue
