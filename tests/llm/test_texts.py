@@ -58,7 +58,7 @@ def test_field_labels_likenesses_and_spares_the_rest(weights):
 
 def test_messages_settle_and_agree_with_enumeration(weights):
     g = pii.Graph()
-    g.add(0, "10.2.3.4 and 10.2.3.4x or 10-2-3-4", [(1, 0, 8)])
+    g.add(0, "10.2.3.4 and 10-2-3-4 or 10:2:3:4", [(1, 0, 8)])
     q = pii.marginals(g, weights)
     x, y, chain, skip = g.arrays()
     assert len(chain) == 0 and len(skip) == len(q) - 1  # a tree, so messages are exact
@@ -217,6 +217,9 @@ def test_every_id_is_scored_once_and_probabilities_add_up():
     # the next id's probabilities after one context sum to one
     total = sum(math.exp(s.score(np.array([4, 3, i]), np.array([3]))[0] - s.score(np.array([4, 3]), np.array([2]))[0]) for i in range(7))
     assert total == pytest.approx(1, abs=1e-4)
+    # the folded tables say what the layers say
+    logp = s.model.forward(x)[0]
+    assert np.allclose(s.model.log_probs(x, s.cls[y]), np.take_along_axis(logp, s.cls[y][..., None], 2)[..., 0], atol=1e-4)
     # the mask hides what follows
     a, b = s.model.forward(np.array([[1, 2, 3, 0, 0, 0, 0, 0]]))[0], s.model.forward(np.array([[1, 2, 3, 4, 5, 4, 3, 2]]))[0]
     assert np.allclose(a[0, :3], b[0, :3], atol=1e-6)
