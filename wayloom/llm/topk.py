@@ -54,7 +54,7 @@ def _floor(c):
     return F.when(F.abs(c) < 2.0**52, F.floor(c).cast("double")).otherwise(c)
 
 
-def packed(rows: DataFrame, block_rows: int = 4096, buckets_per_e: int = 8) -> DataFrame:
+def packed(rows: DataFrame, block_rows: int = 1024, buckets_per_e: int = 8) -> DataFrame:
     """Blocks of vectors of one dimension and norm bucket, longest first inside a block.
 
     Each task packs the rows it holds; a norm that most rows share fills many blocks.
@@ -144,7 +144,7 @@ def search_block(qid: np.ndarray, q: np.ndarray, bound: np.ndarray, vid: np.ndar
     return out
 
 
-def top_k(table: DataFrame, queries: DataFrame, k: int = 5, probe: int = 2048, block_rows: int = 4096,
+def top_k(table: DataFrame, queries: DataFrame, k: int = 5, probe: int = 2048, block_rows: int = 1024,
           query_rows: int = 512) -> DataFrame:
     """query_id, rank, vec_id, score. Both inputs as ``usable`` gives them."""
     spark = table.sparkSession
@@ -181,11 +181,14 @@ def top_k(table: DataFrame, queries: DataFrame, k: int = 5, probe: int = 2048, b
             cols = list(zip(*found, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
 
-    blocks = packed(table, block_rows).repartition(spark.sparkContext.defaultParallelism * 2)
+    deals = 4 * spark.sparkContext.defaultParallelism
+    blocks = packed(table, block_rows).withColumn("deal", F.pmod(F.xxhash64("ids"), F.lit(deals)))
     asked = packed(queries, query_rows).mapInArrow(bounded, BLOCK + ", low binary").select(
-        "dim", F.col("n").alias("qn"), F.col("ids").alias("qids"), F.col("data").alias("qdata"), "low")
-    # blocks against blocks: the stated query set against all rows
-    hits = blocks.join(asked, "dim").mapInArrow(search, "query_id long, vec_id long, score long")
+        "dim", F.col("n").alias("qn"), F.col("ids").alias("qids"), F.col("data").alias("qdata"), "low",
+        F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"))
+    # blocks against blocks: the stated query set against all rows, dealt over tasks
+    hits = blocks.join(asked, ["dim", "deal"]).select(
+        "dim", "n", "ids", "data", "qn", "qids", "qdata", "low").mapInArrow(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
