@@ -108,7 +108,6 @@ def least_overlap(n: int | np.ndarray, percent: int):
 
 def _measured(docs: DataFrame, cells: int, key: str, text: str) -> DataFrame:
     """Per document its set id and size, and per task the counting table in chunks."""
-    chunk = 1 << 14
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,11 +127,11 @@ def _measured(docs: DataFrame, cells: int, key: str, text: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n), pa.array(signs, pa.binary()),
                                                none.cast(pa.int32()), none.cast(pa.binary())], names=names)
         if typ is not None:
-            at = [c for c in range(0, cells, chunk) if counts[c: c + chunk].any()]
+            at = [c for c in range(0, cells, CHUNK) if counts[c: c + CHUNK].any()]
             m = pa.nulls(len(at))
             yield pa.RecordBatch.from_arrays(
-                [m.cast(typ), m.cast(pa.int64()), m.cast(pa.int64()), m.cast(pa.binary()), pa.array([c // chunk for c in at], pa.int32()),
-                 pa.array([np.minimum(counts[c: c + chunk], 2**31 - 1).astype("<i4").tobytes() for c in at], pa.binary())], names=names)
+                [m.cast(typ), m.cast(pa.int64()), m.cast(pa.int64()), m.cast(pa.binary()), pa.array([c // CHUNK for c in at], pa.int32()),
+                 pa.array([np.minimum(counts[c: c + CHUNK], 2**31 - 1).astype("<i4").tobytes() for c in at], pa.binary())], names=names)
 
     return docs.select(key, F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("id"), text).mapInArrow(
         run, f"doc_id {kind}, id long, n long, sign binary, chunk int, counts binary")
@@ -148,10 +147,10 @@ def frequent_cells(parts: DataFrame, cells: int, factor: float, extra: int) -> n
                 sums[c] = sums[c] + x if c in sums else x
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["chunk", "counts"])
 
-    rows = parts.where("chunk is not null").select("chunk", "counts").repartition(8, "chunk").mapInArrow(add, "chunk int, counts binary").collect()
+    rows = parts.where("chunk is not null").select("chunk", "counts").repartition("chunk").mapInArrow(add, "chunk int, counts binary").collect()
     total = np.zeros(cells, np.int64)
     for r in rows:
-        total[r[0] << 14: (r[0] << 14) + len(r[1]) // 8] = np.frombuffer(r[1], np.int64)
+        total[r[0] * CHUNK: r[0] * CHUNK + len(r[1]) // 8] = np.frombuffer(r[1], np.int64)
     return np.packbits(total > factor * total.mean() + extra)
 
 
@@ -168,6 +167,7 @@ class Order:
 
 
 SIGNATURE = 1024
+CHUNK = 1 << 10  # counting cells in a row
 
 
 def signature(s: np.ndarray) -> bytes:
