@@ -88,7 +88,9 @@ def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
         out.append((at[lo] + s, lo + s, np.r_[lo[1:], n] - 1 + s, h[at[lo]]))
     if not out:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+    pos, lo, hi, h = (np.concatenate(c) for c in zip(*out, strict=True))
+    first = np.flatnonzero(np.r_[True, pos[1:] != pos[:-1]])  # both segments at a border find its anchor
+    return pos[first], lo[first], hi[np.r_[first[1:], len(pos)] - 1], h[first]
 
 
 TEXT, PLACE = np.dtype("S16"), np.dtype([("h", "<u8"), ("text", "<u4"), ("pos", "<u4")])
