@@ -17,13 +17,20 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 MIN_SCORE = 0.2
 
 
+def least_score(classes: int) -> float:
+    """The score to exceed: ``MIN_SCORE`` of the way from chance to certainty; one class alone rejects nothing."""
+    return 1 / classes + MIN_SCORE * (1 - 1 / classes) if classes > 1 else 0.0
+
+
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID (8): documents without letters, or with a score of ``MIN_SCORE`` or less, go.
+    """Language ID (8): documents without letters, or with a score of ``least_score`` or less, go.
 
     The network is fitted on a bounded sample of the labelled documents of the stage's input.
     """
-    found = lang_id.identify(docs.select(*COLUMNS), lang_id.fit(docs), "text")
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") > MIN_SCORE)).select(*COLUMNS)
+    model = lang_id.fit(docs)
+    found = lang_id.identify(docs.select(*COLUMNS), model, "text")
+    least = least_score(len(model["langs"]) if model else 1)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") > least)).select(*COLUMNS)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,9 +5,8 @@ embedded, filters of several widths run over the window, each filter's maximum
 over the window goes through one softmax layer. A text's score per language is the
 mean over all its windows, weighted by their bytes; no part of a text is skipped.
 
-Training takes at most ``per_lang`` labelled documents of each of the
-``max_langs`` most frequent languages, chosen by a hash of the key, and up to two
-windows of each. Prediction adds up table rows: a width-2 filter is one look-up by
+Training takes at most ``per_lang`` labelled documents of every language, chosen by a
+hash of the key, and up to two windows of each; no label is left out. Prediction adds up table rows: a width-2 filter is one look-up by
 byte pair, width 3 and 4 are two, so no patch matrix is built.
 
 A null text or one without a letter is ``und`` with score 0, a table without
@@ -22,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayloom.llm.common import crc_mod, documents
@@ -148,29 +147,28 @@ def probabilities(x: np.ndarray, t: dict, chunk: int = 64) -> np.ndarray:
     return out
 
 
-def fit(docs: DataFrame, per_lang: int = 500, max_langs: int = 64, window: int = 256, text: str = "text",
+def fit(docs: DataFrame, per_lang: int = 500, window: int = 256, text: str = "text",
         lang: str = "lang", key: str = "doc_id") -> dict | None:
     """Train on a bounded hash sample of the labelled rows of ``docs``; None without labels."""
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = labelled.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(max_langs).collect()
-    if not counts:
+    counts = labelled.groupBy(F.col(lang).alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
+    langs = sorted(r[0] for r in counts.select("_lang").collect())
+    if not langs:
         return None
-    share = F.create_map(*[x for r in counts for x in (F.lit(r[0]), F.lit(1.5 * per_lang / r[1]))])
     h = F.xxhash64(F.col(key), F.lit(8))
-    kept = labelled.where(F.pmod(h, F.lit(1_000_003)) / F.lit(1_000_003.0) < share[F.col(lang)])
+    share = F.lit(1.5 * per_lang) / F.col("_n")
+    kept = labelled.join(counts, F.col(lang) == F.col("_lang")).where(F.pmod(h, F.lit(1_000_003)) / F.lit(1_000_003.0) < share)
     room = F.greatest(F.length(text) - window, F.lit(0)) + 1
     cuts = [F.expr(f"substring({text}, cast(pmod(shiftright(xxhash64({key}, {i}), 3), greatest(length({text}) - {window}, 0) + 1) + 1 as int), {window})")
             for i in (11, 12)]
-    rows = kept.select(h.alias("h"), F.col(lang).alias("lang"), room.alias("room"), F.array(*cuts).alias("cuts")) \
-        .limit(2 * per_lang * len(counts)).collect()
+    rows = kept.select(h.alias("h"), F.col(lang).alias("lang"), room.alias("room"), F.array(*cuts).alias("cuts"))
+    rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h", "cuts"))).where(F.col("rank") <= per_lang).collect()
     rows.sort(key=lambda r: (r["h"], r["lang"], r["cuts"]))
-    langs, got, x, y = sorted(r[0] for r in counts), {}, [], []
+    number, x, y = {v: i for i, v in enumerate(langs)}, [], []
     for r in rows:
-        got[r["lang"]] = got.get(r["lang"], 0) + 1
-        if got[r["lang"]] <= per_lang:
-            for c in r["cuts"][: 2 if r["room"] > 1 else 1]:
-                x.append(c.encode()[:window])
-                y.append(langs.index(r["lang"]))
+        for c in r["cuts"][: 2 if r["room"] > 1 else 1]:
+            x.append(c.encode()[:window])
+            y.append(number[r["lang"]])
     if not x:
         return None
     x, y = windows(x, window)[0], np.array(y)
