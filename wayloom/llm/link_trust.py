@@ -6,9 +6,11 @@ down to two labels (hosts within the 253 characters of a valid name). Trust star
 at hosts with pages that an allow rule fits, in proportion to those pages, and
 walks along links (personalised PageRank); distrust starts at hosts with blocked
 pages and walks along reversed links. Both walks are one iteration over
-``(walk, host)``; it stops after the number of rounds that bounds the rest by
-``tolerance`` (``damping ** rounds``). A host is allowed if its trust reaches
-``threshold`` of trust plus distrust; a host that neither reaches is allowed.
+``(walk, host)``; it goes on for at least the number of rounds that bounds the rest by
+``tolerance`` (``damping ** rounds``), and until no host is newly reached and every
+score is settled relative to itself. A host is allowed if its trust reaches
+``threshold`` of trust plus distrust, as a ratio, so the number of seeds and pages
+does not matter; a host that neither reaches is allowed.
 
 Everything is joins and sums: page links fold to host edges first, sums fold before
 each shuffle, a hot host is one row in the graph, and the join back to pages can
@@ -78,8 +80,11 @@ def rounds_for(damping: float, tolerance: float) -> int:
 
 
 def host_scores(edges: DataFrame, seeds: DataFrame, damping: float = 0.6, tolerance: float = 0.01,
-                cut_every: int = 4) -> DataFrame:
-    """host, trust, distrust. ``seeds``: walk (0 trust, 1 distrust), host, share."""
+                cut_every: int = 4, settled: float = 1e-7) -> DataFrame:
+    """host, trust, distrust. ``seeds``: walk (0 trust, 1 distrust), host, share.
+
+    A score counts as settled if ``cut_every`` rounds change it by ``settled`` of itself or less.
+    """
     both = edges.select(F.lit(0).alias("walk"), "src", "dst", "w").union(
         edges.select(F.lit(1), F.col("dst"), F.col("src"), F.col("w")))
     out = both.groupBy("walk", "src").agg(F.sum("w").alias("out"))
@@ -87,13 +92,19 @@ def host_scores(edges: DataFrame, seeds: DataFrame, damping: float = 0.6, tolera
                                                           (F.col("w") / F.col("out")).alias("p")))
     start = cut(seeds.select("walk", "host", "share"))
     base = start.select("walk", "host", (F.col("share") * (1 - damping)).alias("score"))
-    score = start.select("walk", "host", F.col("share").alias("score"))
-    for i in range(1, rounds_for(damping, tolerance) + 1):
-        moved = score.join(steps, ["walk", "host"]).select(
-            "walk", F.col("dst").alias("host"), (F.col("score") * F.col("p") * damping).alias("score"))
-        score = moved.union(base).groupBy("walk", "host").agg(F.sum("score").alias("score"))
-        if i % cut_every == 0:
-            score = cut(score)
+    score = last = start.select("walk", "host", F.col("share").alias("score"))
+    i, least, change = 0, rounds_for(damping, tolerance), 1.0
+    while i < least or change > settled:
+        for _ in range(cut_every):
+            moved = score.join(steps, ["walk", "host"]).select(
+                "walk", F.col("dst").alias("host"), (F.col("score") * F.col("p") * damping).alias("score"))
+            score = moved.union(base).groupBy("walk", "host").agg(F.sum("score").alias("score"))
+        i += cut_every
+        score = cut(score)
+        # a host reached only now counts as changed by all of its score
+        was = score.join(last.withColumnRenamed("score", "was"), ["walk", "host"], "left")
+        was = was.where("score > 0").select((F.abs(F.col("score") - F.coalesce("was", F.lit(0.0))) / F.col("score")).alias("c"))
+        last, change = score, was.agg(F.max("c")).first()[0] or 0.0
     part = lambda k: F.coalesce(F.sum(F.when(F.col("walk") == k, F.col("score"))), F.lit(0.0))
     return score.groupBy("host").agg(part(0).alias("trust"), part(1).alias("distrust"))
 
@@ -107,8 +118,8 @@ def filter_urls(pages: DataFrame, rules=RULES, damping: float = 0.6, tolerance:
     total = n.groupBy("walk").agg(F.sum("n").alias("all"))  # two rows
     seeds = n.join(total, "walk").select("walk", "host", (F.col("n") / F.col("all")).alias("share"))
     scores = host_scores(host_edges(pages, url, html), seeds, damping, tolerance)
-    trust, both = F.coalesce("trust", F.lit(0.0)), F.coalesce(F.col("trust") + F.col("distrust"), F.lit(0.0))
-    ok = F.round(trust - threshold * both, 12) >= 0
+    both = F.col("trust") + F.col("distrust")
+    ok = F.coalesce(F.round(F.when(both > 0, F.col("trust") / both) - threshold, 6) >= 0, F.lit(True))
     return rows.join(scores, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("fixed", F.when(ok, "allow").otherwise("block")).alias("verdict"))
 
