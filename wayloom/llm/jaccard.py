@@ -3,9 +3,9 @@
 A set holds the distinct 5-word shingles of a text (64-bit hashes); equal texts are
 one set. Sets are ordered with frequent shingles last (a counting table of
 ``cells`` cells over all shingles tells frequent ones; any order is correct), and
-each is indexed under its prefix: two sets that link share a shingle there. A list
-of the index is sorted by set size in blocks, and a pair of blocks is skipped when
-sizes and positions show that no pair of them can reach the threshold.
+each is indexed under its prefix: two sets that link share a shingle there. Pairs of a
+list are tested by size and position one by one; ``list_pairs``, which skips whole pairs
+of blocks, is not used by the query.
 
 Lists of up to ``short`` sets give all their pairs. In a longer list every set is
 first compared with pivots of similar size only. After those answers are known and
