@@ -1,6 +1,6 @@
 """The queries of this package by name, and SQL where SQL can say the same."""
 
-from wayloom.llm import decontaminate, jaccard, lang_id, licenses, link_trust, lm_score, mixing, pii, suffix_dedup, topk
+from wayloom.llm import decontaminate, jaccard, lang_id, licenses, link_trust, lm_score, mixing, pii, runs, suffix_dedup, topk
 
 QUERIES = {
     "op1_skip_chain": pii.op1_skip_chain,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_byte_cnn": lang_id.op8_byte_cnn,
     "op9_patience_licenses": licenses.op9_patience_licenses,
     "op10_source_schedule": mixing.op10_source_schedule,
+    "op11_repair_runs": runs.op11_repair_runs,
 }
 ORACLES = {
     "op3_link_trust": link_trust.OP3_SQL,
