@@ -1,9 +1,13 @@
 """Kept terms and divergences against a plain version, with narrow levels and crowded bit tables."""
 
+import pickle
 import re
+import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.data import documents, prose
 from wayloom.llm import prefix_terms as P
@@ -49,7 +53,7 @@ def table():
 
 @pytest.mark.parametrize("levels,bits", [((4, 8, 16, 32), 26), ((1, 2, 3), 7), ((2,), 10)])
 def test_divergence_is_that_of_a_plain_version(spark, levels, bits):
-    got = P.divergence(documents(spark, table()), levels=levels, table_bits=bits, top=7).collect()
+    got = P.divergence(documents(spark, table()), levels=levels, table_bits=bits, top=7, unit_words=150).collect()
     rows = {(r.lang, r.source, r.part, r.item, r.value, r["rank"]) for r in got}
     assert len(rows) == len(got) and rows == plain(table(), top=7)
 
@@ -65,14 +69,39 @@ def test_many_sources_are_summed_in_parts(spark, monkeypatch):
 def test_dropped_prefixes_are_not_counted_again(spark):
     rows = [(i, f"common{i} shared word{'abc'[i % 3]}x", "en", "s", None) for i in range(9)]
     d = documents(spark, rows).select("text", "lang", "source")
-    first = P._counted(d, 0, 4, None)
-    left = first.where("source is null").groupBy("lang", "term").sum("docs")
-    assert {bytes(r.term): r["sum(docs)"] for r in left.collect()} == {b"comm": 9, b"shar": 9, b"word": 9}
-    second = P._counted(d, 4, 8, P._bit_table(left.where("term != cast('shar' as binary)").select("lang", "term"), 20))
-    assert not any(bytes(r.term).startswith(b"shar") for r in second.collect())
+    units = P._packed(d)
+
+    def seen(done, size, bits):
+        out = Counter()
+        for r in P._at_level(units, done, size, bits, 4).collect():
+            for kind, _, keys, docs, _ in pickle.loads(r.data):
+                for k, n in zip(keys, np.frombuffer(docs, np.int64).tolist(), strict=True):
+                    out[kind, k] += n
+        return out
+
+    assert seen(0, 4, None) == {(0, b"comm"): 9, (0, b"shar"): 9, (0, b"word"): 9}
+    table = np.zeros(1 << 17, np.uint8)
+    for p in (b"comm", b"word"):
+        h = zlib.crc32(b"en\0" + p) & ((1 << 20) - 1)
+        table[h >> 3] |= 1 << (h & 7)
+    assert seen(4, 7, table) == {(1, b"common"): 9, **{(1, b"word" + x): 3 for x in (b"ax", b"bx", b"cx")}}
     assert {bytes(r.term): r.n for r in P.kept_terms(d).collect()} == {b"common": 9, b"shared": 9, b"wordax": 3, b"wordbx": 3, b"wordcx": 3}
 
 
+def test_units_keep_what_documents_hold(spark):
+    rows = table() + [(500, "many " * 70000 + "x " * 300, "en", "s9", None)]
+    d = documents(spark, rows).select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("text", "lang", "source")])
+    got, want = Counter(), Counter()
+    for r in P._packed(d.coalesce(1), 200).collect():
+        u = P._Unit(r.unit)
+        for doc, term, n, g in zip(u.doc, u.term, u.count, u.group, strict=True):
+            got[u.groups[g], u.terms[term], int(n)] += 1
+    for r in d.collect():
+        for w, n in Counter(P.terms(r.text.encode())).items():
+            want[(r.lang, r.source), w, n] += 1
+    assert got == want
+
+
 def test_empty_and_blank_tables(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     assert P.op12_prefix_iceberg(spark, str(tmp_path)).collect() == []

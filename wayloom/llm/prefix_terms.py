@@ -5,11 +5,12 @@ language keeps the terms that at least ``least`` of its documents hold. They are
 level by level on byte prefixes of growing length (``levels``, then eight times as
 long each): a prefix held by fewer documents cannot begin a kept term, so it is dropped
 and nothing that starts with it is counted at a later level. A term shorter than
-the level is complete and is counted with its occurrences per source. Per level there
-is one pass over the documents; it ends when no prefix is left.
+the level is complete and is counted with its occurrences per source. Documents are packed
+once (terms by number, and how often each document holds them); a level is one pass over
+that, and the last is the one after which no prefix is left.
 
 Documents are additive: a task counts each (language, prefix) once per document that it
-reads and sends sums, so no prefix, language or source gathers in one task. The
+reads and sends sums by hash range, so no prefix, language or source gathers in one task. The
 prefixes left over go back to the tasks as a bit table of ``2**table_bits`` bits whatever
 their number; two that share a bit only leave a prefix to be dropped at a later level, for the
 last word is always the exact count.
@@ -27,8 +28,8 @@ one group has fewer than 9 * 10**15 occurrences.
 
 from __future__ import annotations
 
+import pickle
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,94 +42,231 @@ from wayloom.llm.common import as_bytes, documents, stored
 _TERM = bytes(c if c >= 0x80 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 LEVELS = (4, 8, 16, 32)
 SCALE = 1_000_000_000
-_ROWS = "lang string, source string, term binary, n long, docs long"
+_KEPT = "lang string, source string, term binary, n long, nl long, once boolean"
 
 
 def terms(text: bytes | None) -> list[bytes]:
     """Bytes of code points from U+0080 on belong to terms, as do letters; all else parts them."""
-    return text.translate(_TERM).split(b" ") if text else []
+    return text.translate(_TERM).split() if text else []
 
 
-class _Level(dict):
-    """What a word of one language counts as: None, itself if complete, else its prefix."""
+class _Numbered(dict):
+    """Numbers values in the order they come."""
 
-    def __init__(self, lang: str, done: int, size: int, bits: np.ndarray | None):
-        super().__init__()
-        self.start, self.done, self.size, self.bits = lang.encode() + b"\0", done, size, bits
+    def __missing__(self, value) -> int:
+        self[value] = n = len(self)
+        return n
 
-    def __missing__(self, word: bytes) -> bytes | None:
-        key = word[: self.size] if len(word) >= self.done and word else None
-        if key is not None and self.bits is not None:
-            h = zlib.crc32(self.start + word[: self.done]) & (len(self.bits) * 8 - 1)
-            if not self.bits[h >> 3] >> (h & 7) & 1:
-                key = None
-        if len(self) >= 1 << 20:
-            self.clear()
-        self[word] = key
-        return key
 
+def _packed(docs: DataFrame, unit_words: int = 1 << 22) -> DataFrame:
+    """Documents as units of about ``unit_words`` words: terms, and per document which it holds how often."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, groups = _Numbered(), _Numbered()
+        ids: list[np.ndarray] = []
+        sizes: list[int] = []
+        own: list[int] = []
+        held = 0
 
-def _counted(docs: DataFrame, done: int, size: int, bits: np.ndarray | None, flush: int = 1 << 19) -> DataFrame:
-    """Sums of a task: prefixes of ``size`` bytes (no source) and complete terms shorter than that."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+        def unit():
+            x, n = np.concatenate(ids), max(len(number), 1)
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            pair, count = np.unique(doc * n + x, return_counts=True)
+            doc, x = pair // n, pair % n
+            step = np.diff(x, prepend=0)
+            first = np.flatnonzero(np.diff(doc, prepend=-1))
+            step[first] = x[first]
+            fits = np.uint16 if not len(step) or step.max() < 1 << 16 else np.uint32
+            many = np.flatnonzero(count > 255)
+            data = (b"\0".join(number), list(groups), np.array(own, np.uint32).tobytes(), np.bincount(doc, minlength=len(sizes)).astype(np.uint32).tobytes(),
+                    np.dtype(fits).str, step.astype(fits).tobytes(), np.minimum(count, 255).astype(np.uint8).tobytes(), many.tobytes(), count[many].tobytes())
+            return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(data)], pa.binary())], names=["unit"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels: dict[str, _Level] = {}
-        prefixes: dict[str, Counter] = {}
-        found: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-
-        def packed():
-            for lang, c in prefixes.items():
-                k = len(c)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(lang, k), pa.nulls(k, pa.string()), pa.array(list(c), pa.binary()), pa.nulls(k, pa.int64()),
-                     pa.array(list(c.values()), pa.int64())], names=["lang", "source", "term", "n", "docs"])
-            for (lang, source), (n, d) in found.items():
-                k = len(n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(lang, k), pa.repeat(source, k), pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64()),
-                     pa.array([d[w] for w in n], pa.int64())], names=["lang", "source", "term", "n", "docs"])
+        for b in batches:
+            for t, lang, source in zip(as_bytes(b.column(0)), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                words = terms(t)
+                if words:
+                    ids.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
+                    sizes.append(len(words))
+                    own.append(groups[lang, source])
+                    held += len(words)
+                if held >= unit_words:
+                    yield unit()
+                    number, groups, ids, sizes, own, held = _Numbered(), _Numbered(), [], [], [], 0
+        if ids:
+            yield unit()
+
+    return docs.mapInArrow(run, "unit binary")
+
+
+class _Unit:
+    """One unit, opened: terms, groups, and arrays of (document, term, count)."""
+
+    def __init__(self, data: bytes):
+        words, self.groups, own, per, kind, step, count, many, more = pickle.loads(data)
+        self.terms = words.split(b"\0")
+        per = np.frombuffer(per, np.uint32).astype(np.int64)
+        self.doc = np.repeat(np.arange(len(per)), per)
+        x = np.cumsum(np.frombuffer(step, kind).astype(np.int64))
+        start = np.cumsum(per) - per
+        # sums ran on over documents: take off what stood before each one's first term
+        lead = np.where(start > 0, x[np.maximum(start - 1, 0)], 0)
+        self.term = x - lead[self.doc]
+        self.count = np.frombuffer(count, np.uint8).astype(np.int64)
+        self.count[np.frombuffer(many, np.int64)] = np.frombuffer(more, np.int64)
+        group = np.frombuffer(own, np.uint32)[self.doc]
+        names = _Numbered()
+        self.lang = np.array([names[g[0]] for g in self.groups], np.int64)[group]
+        self.group, self.langs = group.astype(np.int64), list(names)
+
+
+def _at_level(units: DataFrame, done: int, size: int, bits: np.ndarray | None, parts: int) -> DataFrame:
+    """part, data: per language and hash range the prefixes of ``size`` bytes and the complete terms shorter than that.
+
+    Words shorter than ``done`` were complete before; others count if their first ``done`` bytes are left.
+    """
+    shared = units.sparkSession.sparkContext.broadcast(bits)
 
-        held = 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for b in batches:
+            for data in b.column(0).to_pylist():
+                u = _Unit(data)
+                n, length = len(u.terms), np.array([len(w) for w in u.terms], np.int64)
+                live = length[u.term] >= done
+                doc, term, count, group, lang = (v[live] for v in (u.doc, u.term, u.count, u.group, u.lang))
+                if table is not None and len(term):
+                    seen, at = np.unique(lang * n + term, return_inverse=True)
+                    start = [v.encode() + b"\0" for v in u.langs]
+                    h = np.fromiter((zlib.crc32(start[k // n] + u.terms[k % n][:done]) for k in seen.tolist()), np.int64, len(seen)) & (len(table) * 8 - 1)
+                    ok = ((table[h >> 3] >> (h & 7).astype(np.uint8)) & 1).astype(bool)[at]
+                    doc, term, count, group, lang = (v[ok] for v in (doc, term, count, group, lang))
+                rows: dict[int, list] = {}
+                short = length[term] < size
+
+                def deal(kind, code, keys, docs, entries=None):
+                    """One piece per hash range: keys of a language with their documents, and per key what each group has."""
+                    start = u.langs[code].encode() + b"\0"
+                    part = np.fromiter((zlib.crc32(start + k) % parts for k in keys), np.int64, len(keys))
+                    by = np.argsort(part, kind="stable")
+                    cuts = np.searchsorted(part[by], np.arange(parts + 1))
+                    for p in np.unique(part).tolist():
+                        mine = by[cuts[p]: cuts[p + 1]]
+                        more = None
+                        if entries is not None:
+                            first, groups, many = entries
+                            per = first[mine + 1] - first[mine]
+                            flat = np.repeat(first[mine] - (np.cumsum(per) - per), per) + np.arange(per.sum())
+                            used, g = np.unique(groups[flat], return_inverse=True)
+                            wide = np.uint32 if many[flat].max() < 1 << 32 else np.int64
+                            more = (per.astype(np.uint32).tobytes(), [u.groups[k][1] for k in used], g.astype(np.uint32).tobytes(), np.dtype(wide).str, many[flat].astype(wide).tobytes())
+                        rows.setdefault(p, []).append((kind, u.langs[code], [keys[k] for k in mine], docs[mine].astype(np.int64).tobytes(), more))
+
+                for code in np.unique(lang).tolist():
+                    here = short & (lang == code)
+                    if here.any():
+                        ids, at, docs = np.unique(term[here], return_inverse=True, return_counts=True)
+                        g = group[here]
+                        wide = int(g.max()) + 1
+                        pair, place = np.unique(at * wide + g, return_inverse=True)
+                        many = np.bincount(place, count[here]).astype(np.int64)
+                        deal(1, code, [u.terms[k] for k in ids.tolist()], docs, (np.searchsorted(pair, np.arange(len(ids) + 1) * wide), pair % wide, many))
+                    here = ~short & (lang == code)
+                    if here.any():
+                        ids, at = np.unique(term[here], return_inverse=True)
+                        number = _Numbered()
+                        key = np.array([number[u.terms[k][:size]] for k in ids.tolist()], np.int64)[at]
+                        held = np.unique(doc[here] * len(number) + key) % len(number)
+                        deal(0, code, list(number), np.bincount(held, minlength=len(number)))
+                p = list(rows)
+                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array([pickle.dumps(rows[k]) for k in p], pa.binary())], names=["part", "data"])
+
+    return units.mapInArrow(run, "part int, data binary")
+
+
+class _Range:
+    """Sums over one hash range."""
+
+    def __init__(self):
+        self.prefixes: dict[tuple[str, bytes], int] = {}
+        self.number, self.sources = _Numbered(), _Numbered()
+        self.docs: list[tuple] = []
+        self.sums: list[tuple] = []
+        self.held = 0
+
+    def add(self, kind: int, lang: str, keys: list[bytes], docs: np.ndarray, more) -> None:
+        if kind == 0:
+            for k, d in zip(keys, docs.tolist(), strict=True):
+                self.prefixes[lang, k] = self.prefixes.get((lang, k), 0) + d
+            return
+        at = np.array([self.number[lang, k] for k in keys], np.int64)
+        per, names, g, kind_n, n = more
+        code = np.array([self.sources[s] for s in names], np.int64)[np.frombuffer(g, np.uint32)]
+        self.docs.append((at, docs))
+        self.sums.append((np.repeat(at, np.frombuffer(per, np.uint32)), code, np.frombuffer(n, kind_n).astype(np.int64)))
+        self.held += len(code)
+        if self.held >= 1 << 22:
+            self.fold()
+
+    def fold(self) -> None:
+        if not self.sums:
+            return
+        t, s, n = (np.concatenate(c) for c in zip(*self.sums, strict=True))
+        wide = len(self.sources)
+        pair, at = np.unique(t * wide + s, return_inverse=True)
+        total = np.zeros(len(pair), np.int64)
+        np.add.at(total, at, n)
+        self.sums, self.held = [(pair // wide, pair % wide, total)], 0
+        a, d = (np.concatenate(c) for c in zip(*self.docs, strict=True))
+        docs = np.zeros(len(self.number), np.int64)
+        np.add.at(docs, a, d)
+        self.docs = [(np.arange(len(docs)), docs)]
+
+    def kept(self, least: int) -> list[list]:
+        """Columns of ``_KEPT`` for terms that enough documents hold."""
+        self.fold()
+        if not self.sums:
+            return [[], [], [], [], [], []]
+        t, s, n = self.sums[0]
+        whole = np.zeros(len(self.number), np.int64)
+        np.add.at(whole, t, n)
+        ok = self.docs[0][1][t] >= least
+        t, s, n = t[ok], s[ok], n[ok]
+        keys, names = list(self.number), list(self.sources)
+        once = np.diff(t, prepend=-1) != 0
+        return [[keys[k][0] for k in t.tolist()], [names[k] for k in s.tolist()], [keys[k][1] for k in t.tolist()], n, whole[t], once]
+
+
+def _merged(rows: DataFrame, least: int, table_bits: int, parts: int) -> DataFrame:
+    """Kept terms (columns of ``_KEPT``), and as ``at`` and ``v`` the bits of prefixes that are left."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranges: dict[int, _Range] = {}
         for b in batches:
-            langs, sources = b.column(1).to_pylist(), b.column(2).to_pylist()
-            for t, lang, source in zip(as_bytes(b.column(0)), langs, sources, strict=True):
-                level = levels.get(lang)
-                if level is None:
-                    level = levels[lang] = _Level(lang, done, size, shared.value)
-                words = Counter(terms(t))
-                seen: set[bytes] = set()
-                n, d = found.get((lang, source)) or found.setdefault((lang, source), (Counter(), Counter()))
-                was = len(n)
-                for w, c in words.items():
-                    key = level[w]
-                    if key is None:
-                        continue
-                    if len(key) < size:
-                        n[key] += c
-                        d[key] += 1
-                    else:
-                        seen.add(key)
-                held += len(n) - was
-                if seen:
-                    c = prefixes.setdefault(lang, Counter())
-                    was = len(c)
-                    c.update(seen)
-                    held += len(c) - was
-                if held >= flush:
-                    yield from packed()
-                    prefixes, found, held = {}, {}, 0
-        yield from packed()
-
-    return docs.mapInArrow(run, _ROWS)
-
-
-def _bit_table(left: DataFrame, table_bits: int) -> np.ndarray | None:
-    """Bits of the prefixes left over, as bytes; None if there are none."""
-    h = F.crc32(F.concat(F.col("lang").cast("binary"), F.lit(b"\0"), "term")).bitwiseAND(F.lit((1 << table_bits) - 1))
-    bit = F.expr("shiftleft(1L, cast(h & 63 as int))")
-    rows = left.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("at")).agg(F.bit_or(bit).alias("v"))
-    got = rows.toArrow()
+            for p, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                into = ranges.setdefault(p, _Range())
+                for kind, lang, keys, docs, more in pickle.loads(data):
+                    into.add(kind, lang, keys, np.frombuffer(docs, np.int64), more)
+        for r in ranges.values():
+            lang, source, term, n, nl, once = r.kept(least)
+            k = len(lang)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lang, pa.string()), pa.array(source, pa.string()), pa.array(term, pa.binary()), pa.array(n, pa.int64()), pa.array(nl, pa.int64()),
+                 pa.array(once, pa.bool_()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], names=names)
+            h = np.array([zlib.crc32(lang.encode() + b"\0" + key) for (lang, key), d in r.prefixes.items() if d >= least], np.int64) & ((1 << table_bits) - 1)
+            at, place = np.unique(h >> 6, return_inverse=True)
+            v = np.zeros(len(at), np.uint64)
+            np.bitwise_or.at(v, place, np.uint64(1) << (h & 63).astype(np.uint64))
+            none = pa.nulls(len(at))
+            yield pa.RecordBatch.from_arrays(
+                [none.cast(pa.string()), none.cast(pa.string()), none.cast(pa.binary()), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.bool_()),
+                 pa.array(at), pa.array(v.view(np.int64))], names=names)
+
+    names = ["lang", "source", "term", "n", "nl", "once", "at", "v"]
+    return rows.repartition(parts, "part").mapInArrow(run, _KEPT + ", at long, v long")
+
+
+def _bit_table(rows: DataFrame, table_bits: int) -> np.ndarray | None:
+    """The bits of all hash ranges as bytes; None if there are none."""
+    got = rows.where("at is not null").groupBy("at").agg(F.bit_or("v").alias("v")).toArrow()
     if not got.num_rows:
         return None
     out = np.zeros(1 << (table_bits - 6), np.int64)
@@ -136,24 +274,20 @@ def _bit_table(left: DataFrame, table_bits: int) -> np.ndarray | None:
     return out.view(np.uint8)
 
 
-def kept_terms(docs: DataFrame, least: int = 3, levels: tuple[int, ...] = LEVELS, table_bits: int = 26) -> DataFrame:
-    """lang, source, term (binary), n, and n of the language (nl): kept terms where they occur."""
+def kept_terms(docs: DataFrame, least: int = 3, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 22) -> DataFrame:
+    """lang, source, term (binary), n, n of the language (nl), once (true in one row of a term): kept terms where they occur."""
     if not 6 < table_bits <= 32:
         raise ValueError("table_bits must be from 7 to 32")
-    done, bits, k, tables = 0, None, 0, []
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    units = stored(_packed(docs, unit_words))
+    done, bits, k, out = 0, None, 0, None
     while k == 0 or bits is not None:
         size = levels[k] if k < len(levels) else done * 8
-        rows = stored(_counted(docs, done, size, bits))
-        tables.append(rows.where("source is not null"))
-        left = rows.where("source is null").groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least)
-        done, bits, k = size, _bit_table(left.select("lang", "term"), table_bits), k + 1
-    complete = tables[0]
-    for t in tables[1:]:
-        complete = complete.union(t)
-    sums = complete.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    whole = Window.partitionBy("lang", "term")
-    return sums.select("lang", "source", "term", "n", F.sum("n").over(whole).alias("nl"), F.sum("docs").over(whole).alias("docs"),
-                       (F.min("source").over(whole) == F.col("source")).alias("once")).where(F.col("docs") >= least).drop("docs")
+        rows = stored(_merged(_at_level(units, done, size, bits, parts), least, table_bits, parts))
+        kept = rows.where("at is null").drop("at", "v")
+        out = kept if out is None else out.union(kept)
+        done, bits, k = size, _bit_table(rows, table_bits), k + 1
+    return out
 
 
 def _share(n: Column | str, total: Column | str) -> Column:
@@ -244,11 +378,11 @@ def shared_corrections(rows: DataFrame, chunk: int = 256, most: int = 1024) -> D
     return rows.mapInArrow(run, "lang string, a string, b string, v long")
 
 
-def divergence(docs: DataFrame, least: int = 3, top: int = 200, levels: tuple[int, ...] = LEVELS, table_bits: int = 26,
+def divergence(docs: DataFrame, least: int = 3, top: int = 200, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 22,
                text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """lang, source, part, item, value, rank: every two sources of a language, and each source's most telling terms."""
     d = docs.select(F.coalesce(text, F.lit("")).alias("text"), F.coalesce(lang, F.lit("")).alias("lang"), F.coalesce(source, F.lit("")).alias("source"))
-    kept = stored(kept_terms(d, least, levels, table_bits))
+    kept = stored(kept_terms(d, least, levels, table_bits, unit_words))
     sizes = kept.groupBy("lang").agg(F.sum("n").alias("nl_all"), F.sum(F.col("once").cast("long")).alias("v"))
     own = kept.groupBy("lang", "source").agg(F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("present"))
     groups = d.select("lang", "source").distinct().join(own, ["lang", "source"], "left").join(sizes, "lang", "left").na.fill(0)
