@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -34,21 +35,39 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; only a local session without that setting gets one of its own."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        root = "file://" + tempfile.mkdtemp(prefix="wayloom-tables-")
+        spark.sparkContext.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint folder and drop its lineage.
+    """Write ``df`` as a table in the shared folder and read it back: lineage ends there.
 
-    The folder comes from ``spark.checkpoint.dir``; only a session without that
-    setting (tests, a laptop) gets a folder of its own.
+    A checkpoint would hand on the estimated size of its plan, and that estimate multiplies at every join: after
+    some rounds of an iteration planning takes longer than the work.  A written table has its true size.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="wayloom-checkpoint-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._wayloom_path = path
+    return out
+
+
+def discard(df: DataFrame | None) -> None:
+    """Delete the table behind the result of :func:`cut`; whoever cut it knows that nothing reads it any more."""
+    path = getattr(df, "_wayloom_path", None)
+    if path is None:
+        return
+    jvm, jsc = df.sparkSession._jvm, df.sparkSession._jsc
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(jsc.hadoopConfiguration()).delete(at, True)
 
 
 def ship(spark: SparkSession) -> None:
