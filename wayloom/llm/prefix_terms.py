@@ -58,7 +58,7 @@ class _Numbered(dict):
         return n
 
 
-def _packed(docs: DataFrame, unit_words: int = 1 << 22) -> DataFrame:
+def _packed(docs: DataFrame, unit_words: int = 1 << 20) -> DataFrame:
     """Documents as units of about ``unit_words`` words: terms, and per document which it holds how often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, groups = _Numbered(), _Numbered()
@@ -68,7 +68,10 @@ def _packed(docs: DataFrame, unit_words: int = 1 << 22) -> DataFrame:
         held = 0
 
         def unit():
-            x, n = np.concatenate(ids), max(len(number), 1)
+            names, n = sorted(number), max(len(number), 1)  # in order, so what begins alike stands together
+            place = np.empty(n, np.int64)
+            place[np.fromiter(map(number.__getitem__, names), np.int64, n)] = np.arange(n)
+            x = place[np.concatenate(ids)]
             doc = np.repeat(np.arange(len(sizes)), sizes)
             pair, count = np.unique(doc * n + x, return_counts=True)
             doc, x = pair // n, pair % n
@@ -77,7 +80,7 @@ def _packed(docs: DataFrame, unit_words: int = 1 << 22) -> DataFrame:
             step[first] = x[first]
             fits = np.uint16 if not len(step) or step.max() < 1 << 16 else np.uint32
             many = np.flatnonzero(count > 255)
-            data = (b"\0".join(number), list(groups), np.array(own, np.uint32).tobytes(), np.bincount(doc, minlength=len(sizes)).astype(np.uint32).tobytes(),
+            data = (b"\0".join(names), list(groups), np.array(own, np.uint32).tobytes(), np.bincount(doc, minlength=len(sizes)).astype(np.uint32).tobytes(),
                     np.dtype(fits).str, step.astype(fits).tobytes(), np.minimum(count, 255).astype(np.uint8).tobytes(), many.tobytes(), count[many].tobytes())
             return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(data)], pa.binary())], names=["unit"])
 
@@ -135,10 +138,14 @@ def _at_level(units: DataFrame, done: int, size: int, bits: np.ndarray | None, p
                 live = length[u.term] >= done
                 doc, term, count, group, lang = (v[live] for v in (u.doc, u.term, u.count, u.group, u.lang))
                 if table is not None and len(term):
-                    seen, at = np.unique(lang * n + term, return_inverse=True)
+                    pair = lang * n + term
+                    there = np.zeros(len(u.langs) * n, bool)
+                    there[pair] = True
+                    seen = np.flatnonzero(there)
                     start = [v.encode() + b"\0" for v in u.langs]
                     h = np.fromiter((zlib.crc32(start[k // n] + u.terms[k % n][:done]) for k in seen.tolist()), np.int64, len(seen)) & (len(table) * 8 - 1)
-                    ok = ((table[h >> 3] >> (h & 7).astype(np.uint8)) & 1).astype(bool)[at]
+                    there[seen] = (table[h >> 3] >> (h & 7).astype(np.uint8)) & 1
+                    ok = there[pair]
                     doc, term, count, group, lang = (v[ok] for v in (doc, term, count, group, lang))
                 rows: dict[int, list] = {}
                 short = length[term] < size
@@ -161,22 +168,39 @@ def _at_level(units: DataFrame, done: int, size: int, bits: np.ndarray | None, p
                             more = (per.astype(np.uint32).tobytes(), [u.groups[k][1] for k in used], g.astype(np.uint32).tobytes(), np.dtype(wide).str, many[flat].astype(wide).tobytes())
                         rows.setdefault(p, []).append((kind, u.langs[code], [keys[k] for k in mine], docs[mine].astype(np.int64).tobytes(), more))
 
-                for code in np.unique(lang).tolist():
-                    here = short & (lang == code)
+                def numbered(values, most):
+                    """Distinct values in order, and each value's number."""
+                    there = np.zeros(most, bool)
+                    there[values] = True
+                    ids = np.flatnonzero(there)
+                    at = np.zeros(most, np.int64)
+                    at[ids] = np.arange(len(ids))
+                    return ids, at[values]
+
+                for code in range(len(u.langs)):
+                    mine = lang == code
+                    here = short & mine
                     if here.any():
-                        ids, at, docs = np.unique(term[here], return_inverse=True, return_counts=True)
-                        g = group[here]
-                        wide = int(g.max()) + 1
-                        pair, place = np.unique(at * wide + g, return_inverse=True)
-                        many = np.bincount(place, count[here]).astype(np.int64)
-                        deal(1, code, [u.terms[k] for k in ids.tolist()], docs, (np.searchsorted(pair, np.arange(len(ids) + 1) * wide), pair % wide, many))
-                    here = ~short & (lang == code)
+                        ids, at = numbered(term[here], n)
+                        own, g = numbered(group[here], len(u.groups))
+                        pair = at * len(own) + g
+                        if len(ids) * len(own) <= 16 * len(pair):
+                            many = np.bincount(pair, count[here], len(ids) * len(own)).astype(np.int64)
+                            pair = np.flatnonzero(many)
+                            many = many[pair]
+                        else:
+                            pair, back = np.unique(pair, return_inverse=True)
+                            many = np.bincount(back, count[here]).astype(np.int64)
+                        deal(1, code, [u.terms[k] for k in ids.tolist()], np.bincount(at),
+                             (np.searchsorted(pair, np.arange(len(ids) + 1) * len(own)), own[pair % len(own)], many))
+                    here = ~short & mine
                     if here.any():
-                        ids, at = np.unique(term[here], return_inverse=True)
+                        ids, at = numbered(term[here], n)
                         number = _Numbered()
                         key = np.array([number[u.terms[k][:size]] for k in ids.tolist()], np.int64)[at]
-                        held = np.unique(doc[here] * len(number) + key) % len(number)
-                        deal(0, code, list(number), np.bincount(held, minlength=len(number)))
+                        d = doc[here]
+                        first = np.r_[True, (d[1:] != d[:-1]) | (key[1:] != key[:-1])]  # terms in order: one prefix stands together
+                        deal(0, code, list(number), np.bincount(key[first], minlength=len(number)))
                 p = list(rows)
                 yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array([pickle.dumps(rows[k]) for k in p], pa.binary())], names=["part", "data"])
 
@@ -274,7 +298,7 @@ def _bit_table(rows: DataFrame, table_bits: int) -> np.ndarray | None:
     return out.view(np.uint8)
 
 
-def kept_terms(docs: DataFrame, least: int = 3, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 22) -> DataFrame:
+def kept_terms(docs: DataFrame, least: int = 3, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 20) -> DataFrame:
     """lang, source, term (binary), n, n of the language (nl), once (true in one row of a term): kept terms where they occur."""
     if not 6 < table_bits <= 32:
         raise ValueError("table_bits must be from 7 to 32")
@@ -378,7 +402,7 @@ def shared_corrections(rows: DataFrame, chunk: int = 256, most: int = 1024) -> D
     return rows.mapInArrow(run, "lang string, a string, b string, v long")
 
 
-def divergence(docs: DataFrame, least: int = 3, top: int = 200, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 22,
+def divergence(docs: DataFrame, least: int = 3, top: int = 200, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 20,
                text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """lang, source, part, item, value, rank: every two sources of a language, and each source's most telling terms."""
     d = docs.select(F.coalesce(text, F.lit("")).alias("text"), F.coalesce(lang, F.lit("")).alias("lang"), F.coalesce(source, F.lit("")).alias("source"))
