@@ -7,9 +7,9 @@ at small edit distance so get strings at small Hamming distance. A repetition dr
 its own bits and a few steps; windows that agree with an item in those steps are
 candidates. Windows start at every word of a text and are sized by class of item
 length. Steps are compared one after the other, and windows that no item can match
-leave the walk at once. The number of repetitions is raised until ``recall`` of
-items edited at ``tune_rate`` are found again (measured on items when the index is
-built). Candidates are verified by exact edit distance on words:
+leave the walk at once. The number of repetitions of a class is raised until ``recall`` of
+its items are found again amid other words with as many edits as are accepted (every item is
+measured when the index is built; it is an error if that fails). Candidates are verified by exact edit distance on words:
 at most ``max_rate`` of the item's words.
 
 Words outside the benchmark are one symbol, which only brings sequences closer;
@@ -64,8 +64,8 @@ class Index:
 
     END, OTHER = 0, 1
 
-    def __init__(self, items: list[tuple[int, list[bytes]]], max_rate: float, recall: float, tune_rate: float,
-                 samples: int = 3, most_repeats: int = 24, seed: int = 5):
+    def __init__(self, items: list[tuple[int, list[bytes]]], max_rate: float, recall: float,
+                 samples: int = 3, most_repeats: int = 200, seed: int = 5):
         self.items = [(i, w) for i, w in items if w]
         self.max_rate = max_rate
         self.vocab = {w: n for n, w in enumerate(sorted({w for _, ws in self.items for w in ws}), 2)}
@@ -78,23 +78,42 @@ class Index:
         g = np.random.default_rng(seed)
         self.tables: list[tuple[int, np.ndarray, np.ndarray, list]] = []  # class, bits, steps, trie
         for c, members in sorted(self.classes.items()):
-            probes = [(n, self._edited(self.coded[n][:-1], tune_rate, g)) for n in members for _ in range(max(1, 200 // len(members)))][:4000]
-            missed = set(range(len(probes)))
+            probes = [n for n in members for _ in range(max(1, 1000 // len(members)))]
+            ids, begin, inside = self._probes(probes, g)
+            missed = np.ones(len(probes), bool)
             for _ in range(most_repeats):
                 bits = g.integers(0, 2**63, len(self.vocab) + 2, dtype=np.uint64)
                 m = 1 << c
                 span = max(1, m + m // 2)
-                first = int(g.integers(0, max(1, span // 4)))
+                first = int(g.integers(0, min(span, 3)))  # early, so that few walks go on, but not always the first word, which may be edited
                 rest = g.choice(np.arange(first + 1, span), min(samples - 1, span - first - 1), replace=False) if span > first + 1 else []
                 steps = np.sort(np.array([first, *rest], np.int64))
                 table = (c, bits, steps, self._trie(members, bits, steps))
                 self.tables.append(table)
-                for k in list(missed):
-                    n, ids = probes[k]
-                    if n in set(self._hits(table, np.append(ids, self.END).astype(np.int32), np.zeros(1, np.int64))[1].tolist()):
-                        missed.discard(k)
-                if len(missed) <= (1 - recall) * len(probes):
+                at, n = self._hits(table, ids, inside[missed[np.searchsorted(begin, inside, side="right") - 1]])
+                k = np.searchsorted(begin, at, side="right") - 1
+                for i in np.flatnonzero(n == np.array(probes)[k]).tolist():
+                    if missed[k[i]]:
+                        item = self.coded[n[i]][:-1].tolist()
+                        most = int(max_rate * len(item))
+                        missed[k[i]] = edit_distance(item, ids[at[i]: at[i] + len(item) + most].tolist(), most)[0] > most
+                if missed.sum() <= (1 - recall) * len(probes):
                     break
+            else:
+                raise ValueError(f"items of {1 << c} words or more: recall {recall} not reached in {most_repeats} repetitions")
+
+    def _probes(self, members: list[int], g) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Items with as many edits as are accepted, amid other words: words, where each probe begins, places to search."""
+        ids, begin, inside, at = [], [], [], 0
+        for n in members:
+            item = self.coded[n][:-1]
+            pad = [self.OTHER] * (int(self.max_rate * len(item)) + 1)
+            part = [*pad, *self._edited(item, self.max_rate, g), *pad, *pad, self.END]
+            begin.append(at)
+            inside.append(at + np.arange(2 * len(pad)))
+            ids += part
+            at += len(part)
+        return np.array(ids, np.int32), np.array(begin), np.concatenate(inside)
 
     def _edited(self, ids: np.ndarray, rate: float, g) -> np.ndarray:
         out = list(ids)
@@ -203,8 +222,8 @@ class Index:
         return out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, max_rate: float = 0.2, recall: float = 0.95,
-                 tune_rate: float = 0.1, block_bytes: int = 1 << 25, chunk_words: int = 1 << 18,
+def contaminated(docs: DataFrame, benchmark: DataFrame, max_rate: float = 0.2, recall: float = 0.97,
+                 block_bytes: int = 1 << 25, chunk_words: int = 1 << 18,
                  key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """Places of benchmark items in documents, one row per document and item."""
     spark = docs.sparkSession
@@ -216,7 +235,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, max_rate: float = 0.2, r
     blocks, out = int(total // block_bytes) + 1, None
     for k in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == k).collect()
-        index = Index(sorted((-1 if r["i"] is None else r["i"], word_list(r["t"].encode())) for r in rows), max_rate, recall, tune_rate)
+        index = Index(sorted((-1 if r["i"] is None else r["i"], word_list(r["t"].encode())) for r in rows), max_rate, recall)
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

@@ -151,17 +151,18 @@ def fit(docs: DataFrame, per_lang: int = 500, window: int = 256, text: str = "te
         lang: str = "lang", key: str = "doc_id") -> dict | None:
     """Train on a bounded hash sample of the labelled rows of ``docs``; None without labels."""
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = labelled.groupBy(F.col(lang).alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
-    langs = sorted(r[0] for r in counts.select("_lang").collect())
+    counts = sorted((r[0], r[1]) for r in labelled.groupBy(lang).count().collect())  # a row per language
+    langs = [v for v, _ in counts]
     if not langs:
         return None
     h = F.xxhash64(F.col(key), F.lit(8))
-    share = F.lit(1.5 * per_lang) / F.col("_n")
-    kept = labelled.join(counts, F.col(lang) == F.col("_lang")).where(F.pmod(h, F.lit(1_000_003)) / F.lit(1_000_003.0) < share)
+    share = F.create_map(*[F.lit(c) for v, n in counts for c in (v, min(1.0, 1.5 * per_lang / n))])[F.col(lang)]
+    kept = labelled.where(F.pmod(h, F.lit(1_000_003)) / F.lit(1_000_003.0) < share)
     room = F.greatest(F.length(text) - window, F.lit(0)) + 1
     cuts = [F.expr(f"substring({text}, cast(pmod(shiftright(xxhash64({key}, {i}), 3), greatest(length({text}) - {window}, 0) + 1) + 1 as int), {window})")
             for i in (11, 12)]
     rows = kept.select(h.alias("h"), F.col(lang).alias("lang"), room.alias("room"), F.array(*cuts).alias("cuts"))
+    # about 1.5 * per_lang excerpts of a language reach this window
     rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("h", "cuts"))).where(F.col("rank") <= per_lang).collect()
     rows.sort(key=lambda r: (r["h"], r["lang"], r["cuts"]))
     number, x, y = {v: i for i, v in enumerate(langs)}, [], []

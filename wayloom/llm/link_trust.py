@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayloom.llm.common import stored
-from wayloom.session import cut, ship
+from wayloom.session import cut, discard, ship
 
 # fixed values: the rules of the contract, (verdict, host, path)
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"),
@@ -104,7 +104,9 @@ def host_scores(edges: DataFrame, seeds: DataFrame, damping: float = 0.6, tolera
         # a host reached only now counts as changed by all of its score
         was = score.join(last.withColumnRenamed("score", "was"), ["walk", "host"], "left")
         was = was.where("score > 0").select((F.abs(F.col("score") - F.coalesce("was", F.lit(0.0))) / F.col("score")).alias("c"))
-        last, change = score, was.agg(F.max("c")).first()[0] or 0.0
+        change = was.agg(F.max("c")).first()[0] or 0.0
+        discard(last)  # two tables of scores at a time, however many rounds
+        last = score
     part = lambda k: F.coalesce(F.sum(F.when(F.col("walk") == k, F.col("score"))), F.lit(0.0))
     return score.groupBy("host").agg(part(0).alias("trust"), part(1).alias("distrust"))
 
