@@ -58,8 +58,8 @@ class _Numbered(dict):
         return n
 
 
-def _packed(docs: DataFrame, unit_words: int = 1 << 20) -> DataFrame:
-    """Documents as units of about ``unit_words`` words: terms, and per document which it holds how often."""
+def _packed(docs: DataFrame, unit_words: int = 1 << 19) -> DataFrame:
+    """Documents as units of about ``unit_words`` words: the terms, and per document which it holds how often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, groups = _Numbered(), _Numbered()
         ids: list[np.ndarray] = []
@@ -72,15 +72,15 @@ def _packed(docs: DataFrame, unit_words: int = 1 << 20) -> DataFrame:
             place = np.empty(n, np.int64)
             place[np.fromiter(map(number.__getitem__, names), np.int64, n)] = np.arange(n)
             x = place[np.concatenate(ids)]
-            doc = np.repeat(np.arange(len(sizes)), sizes)
-            pair, count = np.unique(doc * n + x, return_counts=True)
+            pair, count = np.unique(np.repeat(np.arange(len(sizes)), sizes) * n + x, return_counts=True)
             doc, x = pair // n, pair % n
+            per = np.bincount(doc, minlength=len(sizes))
             step = np.diff(x, prepend=0)
-            first = np.flatnonzero(np.diff(doc, prepend=-1))
+            first = np.cumsum(per) - per
             step[first] = x[first]
-            fits = np.uint16 if not len(step) or step.max() < 1 << 16 else np.uint32
+            fits = np.uint16 if step.max() < 1 << 16 else np.uint32
             many = np.flatnonzero(count > 255)
-            data = (b"\0".join(names), list(groups), np.array(own, np.uint32).tobytes(), np.bincount(doc, minlength=len(sizes)).astype(np.uint32).tobytes(),
+            data = (b"\0".join(names), list(groups), np.array(own, np.uint32).tobytes(), per.astype(np.uint32).tobytes(),
                     np.dtype(fits).str, step.astype(fits).tobytes(), np.minimum(count, 255).astype(np.uint8).tobytes(), many.tobytes(), count[many].tobytes())
             return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(data)], pa.binary())], names=["unit"])
 
@@ -152,21 +152,26 @@ def _at_level(units: DataFrame, done: int, size: int, bits: np.ndarray | None, p
 
                 def deal(kind, code, keys, docs, entries=None):
                     """One piece per hash range: keys of a language with their documents, and per key what each group has."""
-                    start = u.langs[code].encode() + b"\0"
-                    part = np.fromiter((zlib.crc32(start + k) % parts for k in keys), np.int64, len(keys))
+                    start = zlib.crc32(u.langs[code].encode() + b"\0")
+                    part = np.fromiter((zlib.crc32(k, start) for k in keys), np.int64, len(keys)) % parts
                     by = np.argsort(part, kind="stable")
-                    cuts = np.searchsorted(part[by], np.arange(parts + 1))
-                    for p in np.unique(part).tolist():
-                        mine = by[cuts[p]: cuts[p + 1]]
+                    used, cuts = np.unique(part[by], return_index=True)
+                    cuts = [*cuts.tolist(), len(by)]
+                    keys, docs = [keys[k] for k in by.tolist()], docs[by].astype(np.int64)
+                    if entries is not None:
+                        first, names, groups, many = entries
+                        per = first[by + 1] - first[by]
+                        ends = np.cumsum(per)
+                        flat = np.repeat(first[by] - (ends - per), per) + np.arange(ends[-1])
+                        groups, many, per = groups[flat].astype(np.uint32), many[flat], per.astype(np.uint32)
+                        many = many.astype(np.uint32) if many.max() < 1 << 32 else many
+                        ends = [0, *ends.tolist()]
+                    for p, lo, hi in zip(used.tolist(), cuts, cuts[1:]):  # noqa: B905
                         more = None
                         if entries is not None:
-                            first, groups, many = entries
-                            per = first[mine + 1] - first[mine]
-                            flat = np.repeat(first[mine] - (np.cumsum(per) - per), per) + np.arange(per.sum())
-                            used, g = np.unique(groups[flat], return_inverse=True)
-                            wide = np.uint32 if many[flat].max() < 1 << 32 else np.int64
-                            more = (per.astype(np.uint32).tobytes(), [u.groups[k][1] for k in used], g.astype(np.uint32).tobytes(), np.dtype(wide).str, many[flat].astype(wide).tobytes())
-                        rows.setdefault(p, []).append((kind, u.langs[code], [keys[k] for k in mine], docs[mine].astype(np.int64).tobytes(), more))
+                            x, y = ends[lo], ends[hi]
+                            more = (per[lo:hi].tobytes(), names, groups[x:y].tobytes(), many.dtype.str, many[x:y].tobytes())
+                        rows.setdefault(p, []).append((kind, u.langs[code], keys[lo:hi], docs[lo:hi].tobytes(), more))
 
                 def numbered(values, most):
                     """Distinct values in order, and each value's number."""
@@ -192,7 +197,7 @@ def _at_level(units: DataFrame, done: int, size: int, bits: np.ndarray | None, p
                             pair, back = np.unique(pair, return_inverse=True)
                             many = np.bincount(back, count[here]).astype(np.int64)
                         deal(1, code, [u.terms[k] for k in ids.tolist()], np.bincount(at),
-                             (np.searchsorted(pair, np.arange(len(ids) + 1) * len(own)), own[pair % len(own)], many))
+                             (np.searchsorted(pair, np.arange(len(ids) + 1) * len(own)), [u.groups[k][1] for k in own.tolist()], pair % len(own), many))
                     here = ~short & mine
                     if here.any():
                         ids, at = numbered(term[here], n)
@@ -298,7 +303,7 @@ def _bit_table(rows: DataFrame, table_bits: int) -> np.ndarray | None:
     return out.view(np.uint8)
 
 
-def kept_terms(docs: DataFrame, least: int = 3, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 20) -> DataFrame:
+def kept_terms(docs: DataFrame, least: int = 3, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 19) -> DataFrame:
     """lang, source, term (binary), n, n of the language (nl), once (true in one row of a term): kept terms where they occur."""
     if not 6 < table_bits <= 32:
         raise ValueError("table_bits must be from 7 to 32")
@@ -402,7 +407,7 @@ def shared_corrections(rows: DataFrame, chunk: int = 256, most: int = 1024) -> D
     return rows.mapInArrow(run, "lang string, a string, b string, v long")
 
 
-def divergence(docs: DataFrame, least: int = 3, top: int = 200, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 20,
+def divergence(docs: DataFrame, least: int = 3, top: int = 200, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 19,
                text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """lang, source, part, item, value, rank: every two sources of a language, and each source's most telling terms."""
     d = docs.select(F.coalesce(text, F.lit("")).alias("text"), F.coalesce(lang, F.lit("")).alias("lang"), F.coalesce(source, F.lit("")).alias("source"))
