@@ -61,7 +61,7 @@ def test_divergence_is_that_of_a_plain_version(spark, levels, bits):
 def test_many_sources_are_summed_in_parts(spark, monkeypatch):
     rows = [(i, prose(i % 9, 20), "en", f"s{i % 30}", None) for i in range(200)]
     base = P.shared_corrections
-    monkeypatch.setattr(P, "shared_corrections", lambda r: base(r, chunk=3, most=12))
+    monkeypatch.setattr(P, "shared_corrections", lambda r: base(r, step=50, most=40))
     got = P.divergence(documents(spark, rows))
     assert {(r.lang, r.source, r.part, r.item, r.value, r["rank"]) for r in got.collect()} == plain(rows)
 

@@ -58,7 +58,7 @@ class _Numbered(dict):
         return n
 
 
-def _packed(docs: DataFrame, unit_words: int = 1 << 19) -> DataFrame:
+def _packed(docs: DataFrame, unit_words: int = 3 << 18) -> DataFrame:
     """Documents as units of about ``unit_words`` words: the terms, and per document which it holds how often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, groups = _Numbered(), _Numbered()
@@ -303,7 +303,7 @@ def _bit_table(rows: DataFrame, table_bits: int) -> np.ndarray | None:
     return out.view(np.uint8)
 
 
-def kept_terms(docs: DataFrame, least: int = 3, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 19) -> DataFrame:
+def kept_terms(docs: DataFrame, least: int = 3, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 3 << 18) -> DataFrame:
     """lang, source, term (binary), n, n of the language (nl), once (true in one row of a term): kept terms where they occur."""
     if not 6 < table_bits <= 32:
         raise ValueError("table_bits must be from 7 to 32")
@@ -329,85 +329,65 @@ def _score(p: str, q: str) -> Column:
     return F.call_function("div", (F.col(p) - F.col(q)) * (F.col(p) - F.col(q)), F.col(q))
 
 
-def shared_corrections(rows: DataFrame, chunk: int = 256, most: int = 1024) -> DataFrame:
+def shared_corrections(rows: DataFrame, step: int = 1 << 20, most: int = 1 << 22) -> DataFrame:
     """lang, a, b, v over terms that both sources have: score less the scores with one or both counted as absent.
 
-    ``rows``: lang and a list of (source, p, p0) per term. A task adds up square tables of at most
-    ``most`` sources; they are sent when more appear.
+    ``rows``: lang and a list of (source, p, p0) per term.  A task works on ``step`` pairs at a time and sends its
+    sums when they are of ``most`` pairs, so a term in very many sources needs no more room than others.
     """
     def f(p, q):
         return (p - q) * (p - q) // q
 
-    def corrected(p, p0, lo=0, hi=None):
-        """Sums over terms (rows of ``p``; absent is ``p0``) for pairs of sources lo..hi with all."""
-        a, a0 = p[:, lo:hi, None], p0[None, lo:hi, None]
-        b, b0 = p[:, None, :], p0[None, None, :]
-        return (f(a, b) - f(a, b0) - f(a0, b) + f(a0, b0)).sum(axis=0)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch(lang, first, second, v):
-            k = np.flatnonzero(v)
-            return pa.RecordBatch.from_arrays(
-                [pa.repeat(lang, len(k)), pa.array(np.array(first, object)[k], pa.string()), pa.array(np.array(second, object)[k], pa.string()),
-                 pa.array(v[k])], names=["lang", "a", "b", "v"])
-
-        class Table:
-            def __init__(self, lang):
-                self.lang, self.at, self.p0, self.held = lang, {}, [], []
-                self.sums = np.zeros((0, 0), np.int64)
-
-            def settle(self):
-                n = len(self.at)
-                if len(self.sums) < n:
-                    old, self.sums = self.sums, np.zeros((n, n), np.int64)
-                    self.sums[: len(old), : len(old)] = old
-                p0 = np.array(self.p0, np.int64)
-                step = max(1, (1 << 21) // max(n * n, 1))
-                for c in range(0, len(self.held), step):
-                    part = self.held[c: c + step]
-                    p = np.repeat(p0[None], len(part), axis=0)
-                    for i, (at, v) in enumerate(part):
-                        p[i, at] = v
-                    self.sums += corrected(p, p0)
-                self.held = []
-
-            def rows(self):
-                self.settle()
-                names = list(self.at)
-                for i in range(len(names)):
-                    v = self.sums[i].copy()
-                    v[i] = 0
-                    yield batch(self.lang, [names[i]] * len(names), names, v)
-
-        tables: dict[str, Table] = {}
+        langs, names = _Numbered(), _Numbered()
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # (language, a, b) as one number, and sums
+        wide = 1 << 20
+
+        def fold():
+            code, back = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+            v = np.zeros(len(code), np.int64)
+            np.add.at(v, back, np.concatenate([x for _, x in held]))
+            held[:] = [(code, v)]
+
+        def sent():
+            fold()
+            code, v = held.pop()
+            lang, source = np.array(list(langs), object), np.array(list(names), object)
+            return pa.RecordBatch.from_arrays([pa.array(lang[code // wide // wide], pa.string()), pa.array(source[code // wide % wide], pa.string()),
+                                               pa.array(source[code % wide], pa.string()), pa.array(v)], names=["lang", "a", "b", "v"])
+
         for b in batches:
-            for lang, entries in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if len(entries) > most:  # one term in very many sources: by rows of its own table
-                    names = [e["source"] for e in entries]
-                    p, p0 = (np.array([e[k] for e in entries], np.int64) for k in ("p", "p0"))
-                    for i in range(len(names)):
-                        v = corrected(p[None], p0, i, i + 1)[0]
-                        v[i] = 0
-                        yield batch(lang, [names[i]] * len(names), names, v)
-                    continue
-                t = tables.setdefault(lang, Table(lang))
-                if len(t.at) + sum(e["source"] not in t.at for e in entries) > most:
-                    yield from t.rows()
-                    t = tables[lang] = Table(lang)
-                for e in entries:
-                    if e["source"] not in t.at:
-                        t.at[e["source"]] = len(t.at)
-                        t.p0.append(e["p0"])
-                t.held.append(([t.at[e["source"]] for e in entries], [e["p"] for e in entries]))
-                if len(t.held) >= chunk:
-                    t.settle()
-        for t in tables.values():
-            yield from t.rows()
+            lists = b.column(1)
+            per = np.diff(lists.offsets.to_numpy())
+            flat = lists.flatten()
+            source = flat.field("source").dictionary_encode()
+            code = np.array([names[v] for v in source.dictionary.to_pylist()], np.int64)[source.indices.to_numpy()]
+            if len(names) > wide or len(langs) > 1 << 22:
+                raise ValueError("more than 2**20 sources in one task")
+            p, p0 = flat.field("p").to_numpy(), flat.field("p0").to_numpy()
+            lang = np.repeat(np.array([langs[v] for v in b.column(0).to_pylist()], np.int64), per)
+            first, size = np.repeat(np.cumsum(per) - per, per), np.repeat(per, per)  # of the term that an entry belongs to
+            ends = np.cumsum(size)
+            lo = 0
+            while lo < len(ends):
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + step, side="right")))
+                x = np.repeat(np.arange(lo, hi), size[lo:hi])
+                y = np.arange(len(x)) - np.repeat(np.cumsum(size[lo:hi]) - size[lo:hi], size[lo:hi]) + first[x]
+                x, y = x[x != y], y[x != y]
+                v = f(p[x], p[y]) - f(p[x], p0[y]) - f(p0[x], p[y]) + f(p0[x], p0[y])
+                held.append(((lang[x] * wide + code[x]) * wide + code[y], v))
+                if sum(len(c) for c, _ in held) >= 4 * step:
+                    fold()
+                    if len(held[0][0]) >= most:
+                        yield sent()
+                lo = hi
+        if held:
+            yield sent()
 
     return rows.mapInArrow(run, "lang string, a string, b string, v long")
 
 
-def divergence(docs: DataFrame, least: int = 3, top: int = 200, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 19,
+def divergence(docs: DataFrame, least: int = 3, top: int = 200, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 3 << 18,
                text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """lang, source, part, item, value, rank: every two sources of a language, and each source's most telling terms."""
     d = docs.select(F.coalesce(text, F.lit("")).alias("text"), F.coalesce(lang, F.lit("")).alias("lang"), F.coalesce(source, F.lit("")).alias("source"))
