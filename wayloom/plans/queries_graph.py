@@ -111,10 +111,10 @@ def calibrate_offset(spark, sf):
 
 @query("split_submaps_r10")
 def split_submaps(spark, sf):
-    return SM.split_submaps(V.poses(spark, sf), 40, 50.0, 5.0, 0.25, 1, width=SPAN).select("id", "map_id")
+    return SM.split_submaps(V.poses(spark, sf), 40, 50.0, 5.0, 0.25, width=SPAN).select("id", "map_id")
 
 
 @query("refine_submaps_r11")
 def refine_submaps(spark, sf):
     d = V.poses(spark, sf).withColumn("map_id", F.floor(F.col("x") / 3)).select("trajectory_id", "id", "x", "y", "z", "map_id")
-    return SM.refine_submaps(d, 4, 50.0, 4.0, 1, width=SPAN).select("id", "map_id")
+    return SM.refine_submaps(d, 4, 50.0, 4.0, width=SPAN).select("id", "map_id")

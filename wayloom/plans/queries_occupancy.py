@@ -99,7 +99,7 @@ def _readings(spark, sf):
 
 @query("calibrate_intensity_a26")
 def calibrate_intensity(spark, sf):
-    return CB.calibrate_intensity(_readings(spark, sf), 5.0, iters=3)
+    return CB.calibrate_intensity(_readings(spark, sf), 5.0)
 
 
 @query("top_values_a27", POINTS, """
