@@ -58,7 +58,7 @@ class _Numbered(dict):
         return n
 
 
-def _packed(docs: DataFrame, unit_words: int = 1 << 19) -> DataFrame:
+def _packed(docs: DataFrame, unit_words: int = 1 << 18) -> DataFrame:
     """Documents as units of about ``unit_words`` words: the terms, and per document which it holds how often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, groups = _Numbered(), _Numbered()
@@ -303,7 +303,7 @@ def _bit_table(rows: DataFrame, table_bits: int) -> np.ndarray | None:
     return out.view(np.uint8)
 
 
-def kept_terms(docs: DataFrame, least: int = 3, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 19) -> DataFrame:
+def kept_terms(docs: DataFrame, least: int = 3, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 18) -> DataFrame:
     """lang, source, term (binary), n, n of the language (nl), once (true in one row of a term): kept terms where they occur."""
     if not 6 < table_bits <= 32:
         raise ValueError("table_bits must be from 7 to 32")
@@ -387,7 +387,7 @@ def shared_corrections(rows: DataFrame, step: int = 1 << 20, most: int = 1 << 22
     return rows.mapInArrow(run, "lang string, a string, b string, v long")
 
 
-def divergence(docs: DataFrame, least: int = 3, top: int = 200, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 19,
+def divergence(docs: DataFrame, least: int = 3, top: int = 200, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 18,
                text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """lang, source, part, item, value, rank: every two sources of a language, and each source's most telling terms."""
     d = docs.select(F.coalesce(text, F.lit("")).alias("text"), F.coalesce(lang, F.lit("")).alias("lang"), F.coalesce(source, F.lit("")).alias("source"))
