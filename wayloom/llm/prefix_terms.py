@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import pickle
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +58,7 @@ class _Numbered(dict):
         return n
 
 
-def _packed(docs: DataFrame, unit_words: int = 1 << 18) -> DataFrame:
+def _packed(docs: DataFrame, unit_words: int = 1 << 19) -> DataFrame:
     """Documents as units of about ``unit_words`` words: the terms, and per document which it holds how often."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, groups = _Numbered(), _Numbered()
@@ -303,12 +303,23 @@ def _bit_table(rows: DataFrame, table_bits: int) -> np.ndarray | None:
     return out.view(np.uint8)
 
 
-def kept_terms(docs: DataFrame, least: int = 3, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 18) -> DataFrame:
+def _in_small_batches(spark, job: Callable[[], DataFrame], rows: int = 500) -> DataFrame:
+    """Run ``job`` with fewer rows to an Arrow batch, so that batches of long texts take less room beside the heap."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(was)) if int(was) > 0 else rows))
+    try:
+        return job()
+    finally:
+        spark.conf.set(name, was)
+
+
+def kept_terms(docs: DataFrame, least: int = 3, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 19) -> DataFrame:
     """lang, source, term (binary), n, n of the language (nl), once (true in one row of a term): kept terms where they occur."""
     if not 6 < table_bits <= 32:
         raise ValueError("table_bits must be from 7 to 32")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    units = stored(_packed(docs, unit_words))
+    units = _in_small_batches(docs.sparkSession, lambda: stored(_packed(docs, unit_words)))
     done, bits, k, out = 0, None, 0, None
     while k == 0 or bits is not None:
         size = levels[k] if k < len(levels) else done * 8
@@ -387,7 +398,7 @@ def shared_corrections(rows: DataFrame, step: int = 1 << 20, most: int = 1 << 22
     return rows.mapInArrow(run, "lang string, a string, b string, v long")
 
 
-def divergence(docs: DataFrame, least: int = 3, top: int = 200, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 18,
+def divergence(docs: DataFrame, least: int = 3, top: int = 200, levels: tuple[int, ...] = LEVELS, table_bits: int = 26, unit_words: int = 1 << 19,
                text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """lang, source, part, item, value, rank: every two sources of a language, and each source's most telling terms."""
     d = docs.select(F.coalesce(text, F.lit("")).alias("text"), F.coalesce(lang, F.lit("")).alias("lang"), F.coalesce(source, F.lit("")).alias("source"))
