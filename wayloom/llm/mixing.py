@@ -21,8 +21,6 @@ beyond key, text and source are ignored.
 
 from __future__ import annotations
 
-import functools
-import operator
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -116,13 +114,16 @@ def schedule(targets: DataFrame, slots: int = 1 << 18) -> DataFrame:
 
 def mix(docs: DataFrame, max_repeats: int = 3, weights: tuple[int, ...] = (1, 2, 3), slots: int = 1 << 18,
         bucket_digits: int = 3, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """Words the mix takes of every document: doc_id, size, source_size, target, taken."""
+    """Words the mix takes of every document: doc_id, size, source_size, target, taken.
+
+    The scheduled slots of a source, by rank, meet the blocks of its laid words by an equi-join: what a document gives is
+    the part of its words in the blocks that slots take, summed over the repeats.
+    """
     rows = sized(docs, key, text, source).withColumn("bucket", F.substring("h", 1, bucket_digits))
     parts = stored(rows.groupBy("skey", "bucket").agg(F.sum("size").alias("part")))
-    targets = source_targets(parts.groupBy("skey").agg(F.sum("part").alias("source_size")), max_repeats, weights)
-    block, n = resolution(targets, slots)
-    counts = placed(targets, n).groupBy("skey").agg((F.count(F.lit(1)) * block).alias("room"))
-    targets = targets.join(counts, "skey", "left")
+    targets = stored(source_targets(parts.groupBy("skey").agg(F.sum("part").alias("source_size")), max_repeats, weights))
+    plan = schedule(targets, slots)
+    block, _ = resolution(targets, slots)
     inside = Window.partitionBy("skey", "bucket").orderBy("h", "size", "t")
     parts = parts.select("skey", "bucket", (F.sum("part").over(Window.partitionBy("skey").orderBy("bucket")) -
                                             F.col("part")).alias("base"))
@@ -131,10 +132,18 @@ def mix(docs: DataFrame, max_repeats: int = 3, weights: tuple[int, ...] = (1, 2,
                         F.col("size")).alias("at"))
     # what a source has goes to its buckets first, so no source meets in one task
     laid = laid.join(parts.join(targets, "skey"), ["skey", "bucket"])
-    left = F.coalesce("room", F.lit(0)) - F.col("at") - F.col("base")
-    passes = [F.greatest(F.lit(0), F.least(F.col("size"), left - k * F.col("source_size"))) for k in range(max_repeats)]
-    taken = functools.reduce(operator.add, passes)
-    return laid.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"))
+    laid = stored(laid.select(F.monotonically_increasing_id().alias("row"), "doc_id", "skey", "size", "source_size", "target",
+                              (F.col("at") + F.col("base")).alias("begin")))
+    # first and one past the last word in every repeat, then a row per block that these words reach into
+    lap = laid.where("size > 0").select("row", "skey", "size", F.explode(F.transform(
+        F.sequence(F.lit(0), F.lit(max_repeats - 1)), lambda k: F.col("begin") + k * F.col("source_size"))).alias("lo"))
+    held = lap.select("row", "skey", "lo", (F.col("lo") + F.col("size")).alias("hi"), F.explode(F.sequence(
+        F.floor(F.col("lo") / block), F.floor((F.col("lo") + F.col("size") - 1) / block))).alias("rank"))
+    met = held.join(plan.select("skey", "rank", "block"), ["skey", "rank"])
+    words = F.least("hi", (F.col("rank") + 1) * F.col("block")) - F.greatest("lo", F.col("rank") * F.col("block"))
+    taken = met.groupBy("row").agg(F.sum(words).alias("taken"))
+    return laid.join(taken, "row", "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def op10_source_schedule(spark, sf_dir):
