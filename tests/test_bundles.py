@@ -22,7 +22,7 @@ def clouds(spark, seed=0):
         parts.append(pd.DataFrame(at, columns=list(AT)).assign(pair_id=p))
     d = pd.concat(parts, ignore_index=True)
     d["id"] = np.arange(len(d))
-    d.loc[6, "x"] = np.nan
+    d.loc[[5, 6], "x"] = np.nan
     d = spark.createDataFrame(d).withColumn("x", F.when(~F.isnan("x"), F.col("x")))
     return d.where("id % 3 = 0").drop("id"), d.where("id % 3 > 0")
 
