@@ -26,10 +26,15 @@ def place_descriptor(points: DataFrame) -> DataFrame:
 
 def descriptor_arrays(long: DataFrame) -> DataFrame:
     """One 1200-element array per frame (at most one row per bin goes in)."""
+    n = SECTORS * RINGS
     at = (F.col("col") * RINGS + F.col("row")).cast("int")
-    m = long.groupBy("frame_id").agg(F.map_from_entries(F.collect_list(F.struct(at, F.col("h")))).alias("_m"))
-    full = F.transform(F.sequence(F.lit(0), F.lit(SECTORS * RINGS - 1)),
-                       lambda i: F.coalesce(F.element_at("_m", i), F.lit(0.0)))
+    m = long.groupBy("frame_id").agg(F.sort_array(F.collect_list(F.struct(at.alias("at"), F.coalesce("h", F.lit(0.0)).alias("h")))).alias("_e"))
+    m = m.withColumn("_e", F.filter("_e", lambda e: e["at"].between(0, n - 1)))
+    zeros = lambda k: F.when(k >= 0, F.array_repeat(F.lit(0.0), k)).otherwise(F.raise_error(F.lit("a bin of a frame comes twice")))
+    # each bin after the empty ones before it: one pass, where a look-up per bin would search the bins every time
+    filled = F.transform("_e", lambda e, i: F.concat(zeros(e["at"] - F.coalesce(F.get("_e", i - 1)["at"], F.lit(-1)) - 1), F.array(e["h"])))
+    rest = zeros(n - 1 - F.coalesce(F.element_at(F.transform("_e", lambda e: e["at"]), -1), F.lit(-1)))
+    full = F.concat(F.flatten(filled), rest)
     return m.select("frame_id", full.alias("descriptor"))
 
 
