@@ -73,26 +73,23 @@ def split_submaps(keyframes: DataFrame, max_frames: int = 5000, gap: float = 50.
     return d
 
 
-def _lowest_near(spots: DataFrame, r: float, level: float, takes: Sequence[int] = (16, 128, 1024)) -> DataFrame:
+def _lowest_near(spots: DataFrame, r: float, level: float, takes: Sequence[int] = (16, 1024)) -> DataFrame:
     """map_id, _to: the lowest map with a spot within ``r``, less than ``level`` above or below, where that is lower than the map itself.
 
-    Cells give their lowest maps first.  A spot is settled once no cell around it, with spots in reach of it by their
-    bounds, holds back a map lower than the best so far; more are shown to the others, and all to those that ``takes`` leaves.
+    Cells give their lowest maps first.  A spot is settled once no cell around it holds back a map lower
+    than the best so far; more are shown to the others, and all to those that ``takes`` leaves.
     """
     names = ["_c0", "_c1", "_c2"]
     cells = [F.floor(F.col(c) / s) for c, s in (("x", r), ("y", r), ("z", level))]
     asked = cut(spots.select("map_id", "x", "y", "z", *[c.alias(n) for c, n in zip(cells, names)]))
     rank = Window.partitionBy(*names).orderBy("map_id")
     ranked = asked.select(*names, F.struct("map_id", "x", "y", "z").alias("_s"), F.row_number().over(rank).alias("_k"))
-    bounds = cut(asked.groupBy(*names).agg(*[f(F.when(~F.isnan(c), F.col(c))).alias(n + c) for c in "xyz" for f, n in ((F.min, "_lo_"), (F.max, "_hi_"))]))
-    off = {c: F.greatest(F.col(f"_lo_{c}") - F.col(c), F.col(c) - F.col(f"_hi_{c}"), F.lit(0.0)) for c in "xyz"}
-    in_reach = (off["x"] * off["x"] + off["y"] * off["y"] <= r * r * (1 + 1e-9)) & (off["z"] <= level)
     found = []
     for take in takes:
         first = ranked.where(F.col("_k") <= take + 1).groupBy(*names).agg(
             F.collect_list(F.when(F.col("_k") <= take, F.col("_s"))).alias("_near"), F.max(F.when(F.col("_k") > take, F.col("_s.map_id"))).alias("_next"))
         here = asked.select("map_id", "x", "y", "z", F.explode(_around([F.col(n) for n in names], names)).alias("_cell")).select(
-            "map_id", "x", "y", "z", "_cell.*").join(cut(first.join(bounds, names)), names).where(in_reach)
+            "map_id", "x", "y", "z", "_cell.*").join(cut(first), names)
         sq = lambda s: (s["x"] - F.col("x")) * (s["x"] - F.col("x")) + (s["y"] - F.col("y")) * (s["y"] - F.col("y"))
         close = F.filter("_near", lambda s: (s["map_id"] < F.col("map_id")) & (sq(s) <= r * r) & (F.abs(F.col("z") - s["z"]) < level))
         best = cut(here.groupBy("map_id", "x", "y", "z").agg(F.min(F.array_min(F.transform(close, lambda s: s["map_id"]))).alias("_to"), F.min("_next").alias("_next")))
