@@ -6,11 +6,13 @@ bounded by the sensor; row-frame operators still run in blocks.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,25 +127,24 @@ def select_features(points: DataFrame, edge_th: float = 0.1, surf_th: float = 0.
 
     Points carry ``frame_id, ring, seq, col, curvature, occluded, ground``.  A
     pick silences up to five neighbours each way, across sixths, so a ring (at
-    most 1800 points) is handled as one group; the loop runs over picks.
+    most 1800 points) is handled whole; a group is a sweep with all its rings.
     """
-    def run(pdf):
-        pdf = pdf.sort_values("seq")
-        n = len(pdf)
-        col, cur = pdf["col"].to_numpy(), pdf["curvature"].fillna(0.0).to_numpy()
-        taken, ground = pdf["occluded"].to_numpy(bool).copy(), pdf["ground"].to_numpy(bool)
-        known = pdf["curvature"].notna().to_numpy()
-        label = np.full(n, "less_flat", dtype=object)
-        jump = np.abs(np.diff(col)) > 10
+    def pick(col, cur, known, taken, ground) -> list[str]:
+        n = len(cur)
+        label = ["less_flat"] * n
+        jump = (np.abs(np.diff(col)) > 10).tolist()
+        cur, known, taken, ground = cur.tolist(), known.tolist(), taken.tolist(), ground.tolist()
 
         def silence(i):
             taken[i] = True
-            for step in (1, -1):
-                for m in range(1, 6):
-                    j = i + step * m
-                    if j < 0 or j >= n or jump[min(j, j - step)]:
-                        break
-                    taken[j] = True
+            for j in range(i + 1, min(i + 6, n)):
+                if jump[j - 1]:
+                    break
+                taken[j] = True
+            for j in range(i - 1, max(i - 6, -1), -1):
+                if jump[j]:
+                    break
+                taken[j] = True
 
         first, last = 4, n - 6
         for s in range(6):
@@ -151,20 +152,40 @@ def select_features(points: DataFrame, edge_th: float = 0.1, surf_th: float = 0.
             ep = (first * (5 - s) + last * (s + 1)) // 6 - 1
             if sp >= ep:
                 continue
-            idx = np.arange(sp, ep)
-            rank = np.append(idx[np.argsort(cur[idx], kind="stable")], ep)
-            for order, good, most in ((rank[::-1], known & ~ground & (cur > edge_th), 20),
-                                      (rank, known & ground & (cur < surf_th), 4)):
-                for k in range(1, most + 1):
-                    free = order[good[order] & ~taken[order]]
-                    if not len(free):
+            rank = [*sorted(range(sp, ep), key=cur.__getitem__), ep]
+            k = 0
+            for i in reversed(rank):  # what is silenced stays so: one pass finds every pick
+                if not taken[i] and known[i] and not ground[i] and cur[i] > edge_th:
+                    k += 1
+                    label[i] = "sharp" if k <= 2 else "less_sharp"
+                    silence(i)
+                    if k == 20:
                         break
-                    i = free[0]
-                    label[i] = "flat" if most == 4 else ("sharp" if k <= 2 else "less_sharp")
+            k = 0
+            for i in rank:
+                if not taken[i] and known[i] and ground[i] and cur[i] < surf_th:
+                    k += 1
+                    label[i] = "flat"
                     silence(i)
-        return pdf.assign(feature=label)[["frame_id", "ring", "seq", "feature"]]
-
-    return points.groupBy("frame_id", "ring").applyInPandas(run, "frame_id long, ring int, seq long, feature string")
+                    if k == 4:
+                        break
+        return label
+
+    def run(frame: pa.Table) -> pa.Table:
+        null = {c: frame[c].is_null().to_numpy() for c in ("ring", "seq", "col", "curvature")}
+        ring, seq = (frame[c].fill_null(0).to_numpy() for c in ("ring", "seq"))
+        order = np.lexsort((seq, null["seq"], ring, null["ring"]))
+        col, cur = (np.where(null[c], np.nan, frame[c].fill_null(0).to_numpy().astype(float))[order] for c in ("col", "curvature"))
+        taken, ground = (frame[c].fill_null(False).to_numpy()[order] for c in ("occluded", "ground"))
+        known = ~np.isnan(cur)
+        cur = np.where(known, cur, 0.0)
+        ring, none = ring[order], null["ring"][order]
+        cuts = [0, *(np.flatnonzero((ring[1:] != ring[:-1]) | (none[1:] != none[:-1])) + 1).tolist(), len(ring)]
+        label = [x for a, b in itertools.pairwise(cuts) for x in pick(col[a:b], cur[a:b], known[a:b], taken[a:b], ground[a:b])]
+        return frame.select(["frame_id", "ring", "seq"]).take(order).append_column("feature", pa.array(label, pa.string()))
+
+    d = points.select(F.col("frame_id").cast("long"), F.col("ring").cast("int"), F.col("seq").cast("long"), "col", "curvature", "occluded", "ground")
+    return d.groupBy("frame_id").applyInArrow(run, "frame_id long, ring int, seq long, feature string")
 
 
 # --- range image --------------------------------------------------------------------
