@@ -1,6 +1,6 @@
 """The online steps as Structured Streaming jobs with event time.
 
-State is kept per vehicle: a count, a pose, a short list, and the rows that the
+State is kept per vehicle, several to a group of Spark's: a count, a pose, a short list, and the rows that the
 watermark has not passed yet.  Those wait, so rows that come out of order inside
 the watermark are used in time order (rows of equal time all count); a stream gives
 its last rows when its watermark moves beyond them.  ``read_stream(watermark=…)``
@@ -9,11 +9,13 @@ bounds both the wait and what is held.
 
 from __future__ import annotations
 
+import itertools
 import math
 import os
 import pickle
 import tempfile
 import uuid
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -65,40 +67,118 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     return spark.read.schema(stream.schema).parquet(folder + "/out")
 
 
-def _stateful(stream: DataFrame, key: str, out: str, state: str, fn: Callable, time_col: str = "t") -> DataFrame:
-    """Apply ``fn(sorted rows, state values or None) -> (rows out, new state)`` per key as the watermark passes rows.
-
+BUCKETS = 1 << 10  # fixed value: a stream's state is kept by it
+RUN, CHUNK, SMALL = 1 << 18, 1 << 13, 1 << 10  # rows: sorted at a time, in one packed piece, in a piece left as it is
+
+
+def _pack(cols: list[np.ndarray]) -> bytes:
+    """Columns of one piece; those of a long one byte by byte, which zlib packs well."""
+    if len(cols[0]) <= SMALL:
+        return pickle.dumps((False, cols))
+    flat = [c if c.dtype == object else (c.dtype.str, np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes()) for c in cols]
+    return pickle.dumps((True, zlib.compress(pickle.dumps(flat), 1)))
+
+
+def _unpack(piece: bytes) -> list[np.ndarray]:
+    packed, cols = pickle.loads(piece)
+    if not packed:
+        return cols
+    back = lambda t, b: np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(np.dtype(t).itemsize, -1).T).view(t)[:, 0]
+    return [back(*c) if isinstance(c, tuple) else c for c in pickle.loads(zlib.decompress(cols))]
+
+
+def _pieces(batches: Iterator[pd.DataFrame], names: Sequence[str]) -> Iterator[tuple[float, bytes]]:
+    """Rows as they come, in pieces sorted by their first column, each with its first time."""
+    def out(parts):
+        cols = [np.concatenate(c) if len(parts) > 1 else c[0] for c in zip(*parts, strict=True)]
+        t = cols[0].astype(float)
+        at = np.argsort(t, kind="stable")
+        at = at[: len(at) - int(np.isnan(t).sum())]  # they sort last; rows without a time never become due
+        for k in range(0, len(at), CHUNK):
+            here = at[k: k + CHUNK]
+            yield float(t[here[0]]), _pack([c[here] for c in cols])
+
+    parts, n = [], 0
+    for b in batches:
+        parts.append([b[c].to_numpy() for c in names])
+        n += len(b)
+        if n >= RUN:
+            yield from out(parts)
+            parts, n = [], 0
+    if n:
+        yield from out(parts)
+
+
+def _due(pieces: list[tuple[float, bytes] | None], mark: int) -> Iterator[list[np.ndarray]]:
+    """Rows up to the watermark in time order, rows of equal time as they came, some ``RUN`` at once; ``pieces`` keeps the others."""
+    ms = lambda t: np.floor(t * 1000)
+    todo = sorted((p[0], i) for i, p in enumerate(pieces) if ms(p[0]) <= mark)
+    held, fresh = [], 0
+    for n, (_, i) in enumerate(todo):
+        cols = _unpack(pieces[i][1])
+        t = cols[0].astype(float)
+        cut = int((ms(t) <= mark).sum())
+        pieces[i] = (float(t[cut]), _pack([c[cut:] for c in cols])) if cut < len(t) else None
+        held.append([t[:cut], np.full(cut, i), *(c[:cut] for c in cols)])
+        fresh += cut
+        last = n == len(todo) - 1
+        if fresh < RUN and not last:
+            continue
+        if len(held) > 1:
+            cols = [np.concatenate(c) for c in zip(*held, strict=True)]
+            at = np.lexsort((cols[1], cols[0]))
+            cols = [c[at] for c in cols]
+        else:
+            cols = held[0]
+        done = len(cols[0]) if last else int(np.searchsorted(cols[0], todo[n + 1][0]))  # later pieces begin there
+        held, fresh = [[c[done:] for c in cols]], 0
+        if done:
+            yield [c[:done] for c in cols[2:]]
+
+
+def _stateful(stream: DataFrame, key: str, out: str, state: str, fn: Callable, names: Sequence[str], time_col: str = "t") -> DataFrame:
+    """Apply ``fn(columns, state values or None, begin) -> (columns out or None, new state)`` per key as the watermark passes rows.
+
+    ``columns`` are arrays by name, in time order; a long release comes in parts, ``begin`` marks a key's first.  Rows that
+    wait are kept packed, in sorted pieces, so neither the wait nor the release needs them all at once.  The keys are
+    dealt over ``BUCKETS``, which Spark keeps as its groups: a group costs milliseconds in every trigger, a key in it microseconds.
     ``stream`` needs its watermarked time column beside ``time_col`` (seconds).
     """
-    fields = T._parse_datatype_string(state).fields
-    n = len(fields)
-
-    def run(k, batches: Iterator[pd.DataFrame], st: GroupState):
-        old, parts = None, []
-        if st.exists:
-            *values, used, held = st.get
-            old = tuple(values) if used else None
-            parts = [pickle.loads(held)] if held else []
+    n = len(T._parse_datatype_string(state).fields)
+    names = [time_col, key, *(c for c in names if c != time_col)]
+
+    def run(bucket, batches: Iterator[pd.DataFrame], st: GroupState):
+        states, pieces = pickle.loads(st.get[0]) if st.exists else ({}, [])
         if not st.hasTimedOut:
-            parts += list(batches)
-        rows = pd.concat(parts).sort_values(time_col, kind="stable")
+            pieces += _pieces(batches, names)
         mark = st.getCurrentWatermarkMs()
-        ms = np.floor(rows[time_col].to_numpy(float) * 1000)
-        ready, rest = rows[ms <= mark], rows[ms > mark]
-        res = None
-        if len(ready):
-            res, old = fn(ready, old)
-            assert len(old) == n
-        blank = tuple([] if isinstance(f.dataType, T.ArrayType) else None for f in fields)
-        st.update((*(old or blank), old is not None, pickle.dumps(rest) if len(rest) else None))
-        if len(rest):
-            st.setTimeoutTimestamp(int(max(mark + 1, ms[ms > mark].min() - 1)))
-        if res is not None:
-            res.insert(0, key, k[0])
-            yield res
-
-    return stream.groupBy(key).applyInPandasWithState(
-        run, f"{key} long, {out}", f"{state}, used boolean, held binary", "append", GroupStateTimeout.EventTimeTimeout)
+        seen = set()
+        for cols in _due(pieces, mark):
+            keys = cols[1] if bucket[0] >= 0 else np.zeros(len(cols[0]), np.int64)
+            at = np.argsort(keys, kind="stable")
+            keys, cols = keys[at], [c[at] for c in cols]
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            got = []
+            for i, j in itertools.pairwise(cuts):
+                k = int(keys[i]) if bucket[0] >= 0 else None
+                res, new = fn(dict(zip(names, [c[i:j] for c in cols], strict=True)), states.get(k), k not in seen)
+                assert len(new) == n
+                states[k] = new
+                seen.add(k)
+                if res is not None and len(res["t"]):
+                    got.append({key: [k] * len(res["t"]) if k is None else np.full(len(res["t"]), k), **res})
+            if got:
+                whole = {c: [r[c] for r in got] for c in got[0]}
+                yield pd.DataFrame({c: np.concatenate(v) if isinstance(v[0], np.ndarray) else list(itertools.chain(*v)) for c, v in whole.items()}, copy=False)
+        pieces = [p for p in pieces if p is not None]
+        st.update((pickle.dumps((states, pieces)),))
+        if pieces:
+            st.setTimeoutTimestamp(int(max(mark + 1, math.floor(min(p[0] for p in pieces) * 1000) - 1)))
+
+    bucket = F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(BUCKETS))).cast("int")
+    rest = [c for c in stream.columns if c not in names]  # the watermarked time among them
+    d = stream.select(bucket.alias("_bucket"), F.col(key).cast("long").alias(key), *[c for c in names if c != key], *rest)
+    return d.groupBy("_bucket").applyInPandasWithState(run, f"{key} long, {out}", "held binary", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # --- motion ---------------------------------------------------------------------------
@@ -118,46 +198,55 @@ def stream_preintegrate(stream: DataFrame, key: str = "vehicle_id", wheel_move:
     out = ("t double, x double, y double, z double, qx double, qy double, qz double, qw double, "
            "dx double, dy double, dz double, dqz double")
     state = ("last double, ready boolean, n long, sx double, sy double, sz double, bx double, by double, bz double, "
-             "wx double, wy double, wz double, v double, x double, y double, z double, qx double, qy double, qz double, qw double")
-
-    def fn(rows, old):
-        s = list(old) if old else [0.0, False, 0] + [0.0] * 9 + [0.0] + [0.0] * 6 + [1.0]
-        res = []
-        for t, wx, wy, wz, v in rows[["t", "wx", "wy", "wz", "v"]].itertuples(index=False):
-            s[0] = float(t)
-            if v is not None and not math.isnan(v):
-                s[12] = float(v)
-                if not s[1] and v > wheel_move:
+             "wx double, wy double, wz double, v double, x double, y double, z double, qx double, qy double, qz double, qw double, "
+             "dx double, dy double, dz double, dqx double, dqy double, dqz double, dqw double")
+
+    def fn(rows, old, begin):
+        s = list(old) if old else [0.0, False, 0] + [0.0] * 9 + [0.0] + [0.0] * 6 + [1.0] + [0.0] * 6 + [1.0]
+        if begin:
+            s[20:27] = [0.0] * 6 + [1.0]
+        t, wx, wy, wz, v = (rows[c].astype(float) for c in ("t", "wx", "wy", "wz", "v"))
+        wheel = ~np.isnan(v)
+        i = 0
+        while not s[1] and i < len(t):
+            if wheel[i]:
+                s[12] = float(v[i])
+                if s[12] > wheel_move:
                     s[2:6] = [0, 0.0, 0.0, 0.0]
-                continue
-            w = np.array([wx, wy, wz], float)
-            if not s[1]:
+            else:
+                w = [float(wx[i]), float(wy[i]), float(wz[i])]
                 s[2] += 1
-                s[3:6] = [a + b for a, b in zip(s[3:6], w.tolist())]
-                s[9:12] = w.tolist()
+                s[3:6] = [a + b for a, b in zip(s[3:6], w)]
+                s[9:12] = w
                 if s[2] > IMU_STATIC:
                     s[6:9] = [a / s[2] for a in s[3:6]]
                     s[1] = True
-                continue
-            res.append((t, *(0.5 * (np.array(s[9:12]) + w) - np.array(s[6:9])), s[12]))
-            s[9:12] = w.tolist()
-        if not res:
-            return pd.DataFrame(columns=[c.split()[0] for c in out.split(", ")]).astype(float), tuple(s)
-        a = np.array(res)
-        turns = np.concatenate([np.zeros((len(a), 3)), N.exp_rotation(a[:, 1:4] * STEP)], 1)
-        rel = _running_turns(turns)  # attitude change since the trigger's start
-        q0 = np.array(s[16:20])[None]
-        q = N.mul(np.repeat(q0, len(a), 0), rel)
-        ahead = np.stack([a[:, 4] * STEP, np.zeros(len(a)), np.zeros(len(a))], 1)
+            i += 1
+        s[0] = float(t[-1])
+        t, v, wheel = t[i:], v[i:], wheel[i:]
+        w = np.stack([wx[i:], wy[i:], wz[i:]], 1)[~wheel]
+        at = np.maximum.accumulate(np.where(wheel, np.arange(len(v)), -1))  # the wheel speed that holds
+        speed = np.where(at >= 0, v[np.maximum(at, 0)], s[12])[~wheel] if len(v) else v
+        if wheel.any():
+            s[12] = float(v[at[-1]])
+        if not len(w):
+            return None, tuple(s)
+        turn = 0.5 * (np.concatenate([[s[9:12]], w[:-1]]) + w) - np.array(s[6:9])
+        s[9:12] = w[-1].tolist()
+        steps = _running_turns(np.concatenate([np.zeros((len(w), 3)), N.exp_rotation(turn * STEP)], 1))
+        again = lambda q: np.repeat(np.array(q)[None], len(w), 0)
+        rel = N.mul(again(s[23:27]), steps)  # attitude change since the trigger's start
+        rel /= np.linalg.norm(rel, axis=1, keepdims=True)
+        q = N.mul(again(s[16:20]), steps)
+        ahead = np.stack([speed * STEP, np.zeros(len(w)), np.zeros(len(w))], 1)
         pos = np.array(s[13:16]) + np.cumsum(N.rotate(q, ahead), 0)
-        before = np.concatenate([np.array([[0, 0, 0, 1.0]]), rel[:-1]])
-        delta = np.cumsum(N.rotate(before, ahead), 0)
-        s[13:16], s[16:20] = pos[-1].tolist(), q[-1].tolist()
-        res = pd.DataFrame({"t": a[:, 0], "x": pos[:, 0], "y": pos[:, 1], "z": pos[:, 2], "qx": q[:, 0], "qy": q[:, 1],
-                            "qz": q[:, 2], "qw": q[:, 3], "dx": delta[:, 0], "dy": delta[:, 1], "dz": delta[:, 2], "dqz": rel[:, 2]})
-        return res, tuple(s)
+        before = np.concatenate([np.array([s[23:27]]), rel[:-1]])
+        delta = np.array(s[20:23]) + np.cumsum(N.rotate(before, ahead), 0)
+        s[13:16], s[16:20], s[20:23], s[23:27] = pos[-1].tolist(), q[-1].tolist(), delta[-1].tolist(), rel[-1].tolist()
+        return {"t": t[~wheel], "x": pos[:, 0], "y": pos[:, 1], "z": pos[:, 2], "qx": q[:, 0], "qy": q[:, 1], "qz": q[:, 2], "qw": q[:, 3],
+                "dx": delta[:, 0], "dy": delta[:, 1], "dz": delta[:, 2], "dqz": rel[:, 2]}, tuple(s)
 
-    return _stateful(stream, key, out, state, fn)
+    return _stateful(stream, key, out, state, fn, ["t", "wx", "wy", "wz", "v"])
 
 
 def _running_turns(turns: np.ndarray) -> np.ndarray:
@@ -177,19 +266,19 @@ def stream_keyframes(stream: DataFrame, key: str = "vehicle_id", dist: float = 0
     out = "t double, frame_id long, x double, y double, yaw double, keyframe_no long"
     state = "last double, n long, x double, y double, yaw double"
 
-    def fn(rows, old):
+    def fn(rows, old, begin):
         last, n, lx, ly, lw = old or (0.0, 0, 0.0, 0.0, 0.0)
         kept = []
-        for i, (x, y, w) in enumerate(rows[["x", "y", "yaw"]].itertuples(index=False)):
+        for i, (x, y, w) in enumerate(zip(*(rows[c].astype(float).tolist() for c in ("x", "y", "yaw")), strict=True)):
             turn = math.fmod(lw - w, 2 * math.pi)
             if n < always or math.hypot(lx - x, ly - y) > dist or abs(turn) > angle:
                 kept.append((i, n))
                 n, lx, ly, lw = n + 1, x, y, w
-        res = rows.iloc[[i for i, _ in kept]][["t", "frame_id", "x", "y", "yaw"]].reset_index(drop=True)
-        res["keyframe_no"] = np.array([k for _, k in kept], dtype="int64")
-        return res, (float(rows["t"].iloc[-1]), int(n), float(lx), float(ly), float(lw))
+        at = np.array([i for i, _ in kept], dtype="int64")
+        res = {c: rows[c][at] for c in ("t", "frame_id", "x", "y", "yaw")} | {"keyframe_no": np.array([k for _, k in kept], dtype="int64")}
+        return res, (float(rows["t"][-1]), int(n), float(lx), float(ly), float(lw))
 
-    return _stateful(stream, key, out, state, fn)
+    return _stateful(stream, key, out, state, fn, ["t", "frame_id", "x", "y", "yaw"])
 
 
 def stream_submaps(stream: DataFrame, key: str = "vehicle_id", size: int = 101) -> DataFrame:
@@ -200,19 +289,19 @@ def stream_submaps(stream: DataFrame, key: str = "vehicle_id", size: int = 101)
     out = "t double, frame_id long, submap_no long, local_x double, local_y double"
     state = "last double, n long, ox double, oy double, oyaw double"
 
-    def fn(rows, old):
+    def fn(rows, old, begin):
         _, n, ox, oy, ow = old or (0.0, 0, 0.0, 0.0, 0.0)
-        no = n + np.arange(len(rows))
-        x, y, w = (rows[c].to_numpy(float) for c in ("x", "y", "yaw"))
-        first = np.maximum.accumulate(np.where(no % size == 0, np.arange(len(rows)), -1))
+        x, y, w = (rows[c].astype(float) for c in ("x", "y", "yaw"))
+        no = n + np.arange(len(x))
+        first = np.maximum.accumulate(np.where(no % size == 0, np.arange(len(x)), -1))
         use = first >= 0
         bx, by, bw = (np.where(use, v[first], o) for v, o in ((x, ox), (y, oy), (w, ow)))
         dx, dy = x - bx, y - by
-        res = pd.DataFrame({"t": rows["t"].to_numpy(), "frame_id": rows["frame_id"].to_numpy(), "submap_no": no // size,
-                            "local_x": np.cos(bw) * dx + np.sin(bw) * dy, "local_y": -np.sin(bw) * dx + np.cos(bw) * dy})
-        return res, (float(rows["t"].iloc[-1]), int(no[-1] + 1), float(bx[-1]), float(by[-1]), float(bw[-1]))
+        res = {"t": rows["t"], "frame_id": rows["frame_id"], "submap_no": no // size,
+               "local_x": np.cos(bw) * dx + np.sin(bw) * dy, "local_y": -np.sin(bw) * dx + np.cos(bw) * dy}
+        return res, (float(rows["t"][-1]), int(no[-1] + 1), float(bx[-1]), float(by[-1]), float(bw[-1]))
 
-    return _stateful(stream, key, out, state, fn)
+    return _stateful(stream, key, out, state, fn, ["t", "frame_id", "x", "y", "yaw"])
 
 
 def submaps_batch(frames: DataFrame, by: Sequence[str] = TRAJ, order: str = "t", size: int = 101,
@@ -232,14 +321,14 @@ def recent_frames(stream: DataFrame, n: int = 30, key: str = "vehicle_id") -> Da
     out = "t double, frame_id long, recent array<long>"
     state = "last double, ids array<long>"
 
-    def fn(rows, old):
+    def fn(rows, old, begin):
         held = list(old[1]) if old else []
         ids = held + [int(i) for i in rows["frame_id"]]
         at = range(len(held) + 1, len(ids) + 1)
-        res = pd.DataFrame({"t": rows["t"].to_numpy(), "frame_id": rows["frame_id"].to_numpy(), "recent": [ids[max(0, i - n):i] for i in at]})
-        return res, (float(rows["t"].iloc[-1]), ring_buffer(held, ids[len(held):], n)[-n:])
+        res = {"t": rows["t"], "frame_id": rows["frame_id"], "recent": [ids[max(0, i - n):i] for i in at]}
+        return res, (float(rows["t"][-1]), ring_buffer(held, ids[len(held):], n)[-n:])
 
-    return _stateful(stream, key, out, state, fn)
+    return _stateful(stream, key, out, state, fn, ["t", "frame_id"])
 
 
 def recent_frames_batch(frames: DataFrame, n: int = 30, by: Sequence[str] = TRAJ, order: str = "t",
