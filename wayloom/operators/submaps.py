@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,15 +58,12 @@ def split_submaps(keyframes: DataFrame, max_frames: int = 5000, gap: float = 50.
     d = cut(d.join(seed, [*by, "_run", "_part"]).select(*by, "id", "x", "y", "z", "map_id"))
     for _ in range(rounds):
         sizes = d.groupBy("map_id").agg(F.count(F.lit(1)).alias("_n"))
-        # frames of one map in one cell and level stand for each other
-        spots = d.groupBy("map_id", F.floor(F.col("x") / reach).alias("_gx"), F.floor(F.col("y") / reach).alias("_gy"),
-                          F.floor(F.col("z") / level).alias("_gz")).agg(
-            F.min_by(F.struct("x", "y", "z"), "id").alias("_p"))
-        spots = spots.select("map_id", "_p.x", "_p.y", "_p.z")
-        want = _lowest_near(spots, reach, level)
+        want = _lowest_near(d.select("map_id", "x", "y", "z"), reach, level)
         # only seeds that are not themselves moved this round can take others in
         want = want.join(want.select(F.col("map_id").alias("_to")), "_to", "left_anti")
         want = want.join(sizes, "map_id").join(sizes.select(F.col("map_id").alias("_to"), F.col("_n").alias("_m")), "_to")
+        # every seed has a frame: of those that want one target, no more than max_frames can fit
+        want = want.withColumn("_rk", F.row_number().over(Window.partitionBy("_to").orderBy("map_id"))).where(F.col("_rk") <= max_frames)
         free = F.sum("_n").over(_by_target())
         want = want.withColumn("_sum", free).filter(F.col("_sum") + F.col("_m") <= max_frames)
         d = cut(d.join(want.select("map_id", "_to"), "map_id", "left")
@@ -73,33 +71,76 @@ def split_submaps(keyframes: DataFrame, max_frames: int = 5000, gap: float = 50.
     return d
 
 
-def _lowest_near(spots: DataFrame, r: float, level: float, takes: Sequence[int] = (16, 1024)) -> DataFrame:
-    """map_id, _to: the lowest map with a spot within ``r``, less than ``level`` above or below, where that is lower than the map itself.
-
-    Cells give their lowest maps first.  A spot is settled once no cell around it holds back a map lower
-    than the best so far; more are shown to the others, and all to those that ``takes`` leaves.
+SHARE = 100_000  # frames of a cell that are worked on in one go
+
+
+def _first_near(r: float, level: float):
+    """The lowest map near each frame of a cell, out of the lowest frames around it; ``_next``: the lowest map that was held back."""
+    def run(asked: pd.DataFrame, shown: pd.DataFrame) -> pd.DataFrame:
+        held = shown["held"].to_numpy(bool)
+        last = shown["ref"].to_numpy(np.int64)[held].min() if held.any() else None
+        shown = shown[~held].sort_values("ref")
+        ref, at = shown["ref"].to_numpy(np.int64), shown[["rx", "ry", "rz"]].to_numpy(float)
+        own, q = asked["map_id"].to_numpy(np.int64), asked[["x", "y", "z"]].to_numpy(float)
+        to, open_, begin, size = np.full(len(own), -1), np.arange(len(own)), 0, 16
+        hit = np.zeros(len(own), bool)
+        while begin < len(ref):  # in the order of maps: the first one near is the lowest
+            open_ = open_[own[open_] > ref[begin]]
+            if not len(open_):
+                break
+            m, a = ref[begin: begin + size], at[begin: begin + size]
+            for part in np.array_split(open_, len(open_) * size // 2_000_000 + 1):
+                dx, dy = q[part, 0, None] - a[:, 0], q[part, 1, None] - a[:, 1]
+                near = (dx * dx + dy * dy <= r * r) & (np.abs(q[part, 2, None] - a[:, 2]) < level) & (m < own[part, None])
+                ok = near.any(axis=1)
+                to[part[ok]] = m[near[ok].argmax(axis=1)]
+                hit[part[ok]] = True
+            open_ = open_[~hit[open_]]
+            begin, size = begin + size, min(2 * size, 1024)
+        left = np.zeros(len(own), bool) if last is None else last < np.where(hit, to, own)
+        out = asked[["map_id", "x", "y", "z"]].assign(_to=pd.array(to, dtype="Int64"), _next=pd.array(np.full(len(own), last or 0), dtype="Int64"))
+        out.loc[~hit, "_to"] = pd.NA
+        out.loc[~left, "_next"] = pd.NA
+        best = out[hit & ~left].groupby("map_id", as_index=False)["_to"].min()  # a row per map of those that are settled
+        return pd.concat([out[left], best])[["map_id", "x", "y", "z", "_to", "_next"]] if left.any() else best.assign(
+            x=np.nan, y=np.nan, z=np.nan, _next=pd.array([pd.NA] * len(best), dtype="Int64"))[["map_id", "x", "y", "z", "_to", "_next"]]
+
+    return run
+
+
+def _lowest_near(frames: DataFrame, r: float, level: float, takes: Sequence[int] = (8, 128, 2048, 32768)) -> DataFrame:
+    """map_id, _to: the lowest map with a frame within ``r`` of one of the map's, less than ``level`` above or below, where that is lower than the map itself.
+
+    Cells show their lowest frames first.  A frame is settled once no cell around it holds back a map lower
+    than the best so far, of its own or of its map; more are shown to the others, and all to those that ``takes`` leaves.
     """
     names = ["_c0", "_c1", "_c2"]
-    cells = [F.floor(F.col(c) / s) for c, s in (("x", r), ("y", r), ("z", level))]
-    asked = cut(spots.select("map_id", "x", "y", "z", *[c.alias(n) for c, n in zip(cells, names)]))
+    cells = [F.floor(F.col(c) / s).alias(n) for c, s, n in zip("xyz", (r, r, level), names)]
+    every = cut(frames.dropna().select("map_id", *[F.col(c).cast("double").alias(c) for c in "xyz"]).distinct().select("*", *cells))
+    asked, found = every, None
     rank = Window.partitionBy(*names).orderBy("map_id")
-    ranked = asked.select(*names, F.struct("map_id", "x", "y", "z").alias("_s"), F.row_number().over(rank).alias("_k"))
-    found = []
+    ranked = every.select(*names, F.col("map_id").alias("ref"), *[F.col(c).alias(f"r{c}") for c in "xyz"], F.row_number().over(rank).alias("_k"))
     for take in takes:
-        first = ranked.where(F.col("_k") <= take + 1).groupBy(*names).agg(
-            F.collect_list(F.when(F.col("_k") <= take, F.col("_s"))).alias("_near"), F.max(F.when(F.col("_k") > take, F.col("_s.map_id"))).alias("_next"))
-        here = asked.select("map_id", "x", "y", "z", F.explode(_around([F.col(n) for n in names], names)).alias("_cell")).select(
-            "map_id", "x", "y", "z", "_cell.*").join(cut(first), names)
-        sq = lambda s: (s["x"] - F.col("x")) * (s["x"] - F.col("x")) + (s["y"] - F.col("y")) * (s["y"] - F.col("y"))
-        close = F.filter("_near", lambda s: (s["map_id"] < F.col("map_id")) & (sq(s) <= r * r) & (F.abs(F.col("z") - s["z"]) < level))
-        best = cut(here.groupBy("map_id", "x", "y", "z").agg(F.min(F.array_min(F.transform(close, lambda s: s["map_id"]))).alias("_to"), F.min("_next").alias("_next")))
-        found.append(best.where("_to is not null").select("map_id", "_to"))
-        asked = best.where(F.col("_next") < F.coalesce("_to", "map_id")).select("map_id", "x", "y", "z")
-        asked = cut(asked.select("*", *[c.alias(n) for c, n in zip(cells, names)]))
-    if not asked.isEmpty():
-        touch = radius_join(asked.drop(*names), suffixed(spots, "_2"), r, where=(F.col("map_id_2") < F.col("map_id")) & (F.abs(F.col("z") - F.col("z_2")) < level))
-        found.append(touch.groupBy("map_id").agg(F.min("map_id_2").alias("_to")))
-    return reduce(DataFrame.unionByName, found).groupBy("map_id").agg(F.min("_to").alias("_to"))
+        shares = asked.groupBy(*names).agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("_n"))
+        shares = cut(shares)
+        first = ranked.where(F.col("_k") <= take + 1).select(F.explode(_around([F.col(n) for n in names], names)).alias("_cell"), "ref", "rx", "ry", "rz",
+                                                             (F.col("_k") > take).alias("held"))
+        first = first.select("_cell.*", "ref", "rx", "ry", "rz", "held").join(shares, names)
+        first = first.withColumn("_p", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
+        mine = asked.join(shares.withColumnRenamed("_n", "_of"), names).withColumn("_p", F.pmod(F.xxhash64("map_id", "x", "y", "z"), F.col("_of")).cast("int")).drop("_of")
+        keys = [*names, "_p"]
+        got = mine.groupBy(*keys).cogroup(first.groupBy(*keys)).applyInPandas(_first_near(r, level), "map_id long, x double, y double, z double, _to long, _next long")
+        got = cut(got)
+        best = got.groupBy("map_id").agg(F.min("_to").alias("_to")).where("_to is not null")
+        found = cut(best if found is None else found.unionByName(best).groupBy("map_id").agg(F.min("_to").alias("_to")))
+        asked = got.where("_next is not null").select("map_id", "x", "y", "z", "_next").join(found, "map_id", "left")
+        asked = cut(asked.where(F.col("_next") < F.coalesce("_to", "map_id")).select("map_id", "x", "y", "z", *cells))
+        if asked.isEmpty():
+            return found
+    lower = F.col("map_id_2") < F.coalesce("_to", "map_id")
+    touch = radius_join(asked.drop(*names).join(found, "map_id", "left"), suffixed(every.drop(*names), "_2"), r, where=lower & (F.abs(F.col("z") - F.col("z_2")) < level))
+    more = touch.groupBy("map_id").agg(F.min("map_id_2").alias("_to"))
+    return found.unionByName(more).groupBy("map_id").agg(F.min("_to").alias("_to"))
 
 
 def _by_target():
