@@ -23,3 +23,13 @@ def test_a_crowded_cell_is_dealt_out_and_keeps_its_pairs(spark, monkeypatch):
     assert key(dealt) == want and dealt.columns == plain.columns and len(want) > 500
     left, right, shares = S._dealt(*[d.select("g", F.floor(x).alias("_c"), i) for d, x, i in ((da, "x", "id"), (db, "x_2", "id_2"))], ["g", "_c"])
     assert shares and all(d.groupBy("g", "_c", *shares).count().agg(F.max("count")).first()[0] <= 21 for d in (left, right))
+
+
+def test_copies_of_a_crowded_cell_grow_with_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(S, "DEALT", 5)
+    monkeypatch.setattr(S, "CROWDED", 50)
+    for n, m in ((600, 600), (900, 60)):
+        left, right = spark.range(n).select(F.lit(0).alias("_c"), "id"), spark.range(m).select(F.lit(0).alias("_c"), F.col("id").alias("id_2"))
+        a, b, shares = S._dealt(left, right, ["_c"])
+        assert shares and a.count() + b.count() <= 4 * (n + m)
+        assert a.join(b, ["_c", *shares]).select("id", "id_2").distinct().count() == a.join(b, ["_c", *shares]).count() == n * m
